@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import bpe_round_trip, ids_text
+from tidemark.llm.common import fresh_path
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +64,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the multi-language rank file, decoded again."""
+    found = bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text("ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives with payload deduplication and read back."""
+    paths = write_warc(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"), least_bytes=100)
+    return read_warc(spark, paths)
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM g
+"""
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document packed into files and read back."""
+    files = write_token_files(table(spark, sf_dir, "documents"), fresh_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_token_files(spark, files)
