@@ -12,9 +12,14 @@ from tidemark.llm.bpe import bpe_round_trip, ids_text
 from tidemark.llm.common import fresh_path
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.quality import held_out, labelled_sample, score_documents, train
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.top_k import top_k
 from tidemark.llm.warc import read_warc, write_warc
 
+#: Score from which a document counts as good.
+QUALITY_THRESHOLD = 0.3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -95,3 +100,32 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document packed into files and read back."""
     files = write_token_files(table(spark, sf_dir, "documents"), fresh_path(spark, "tokens"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_token_files(spark, files)
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, query=F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op9_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learned from labelled documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", ~held_out()))
+    return score_documents(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
