@@ -12,6 +12,7 @@ from tidemark.llm.bpe import bpe_round_trip, ids_text
 from tidemark.llm.common import fresh_path
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.pii import KINDS, find_pii, span_text
 from tidemark.llm.quality import held_out, labelled_sample, score_documents, train
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.top_k import top_k
@@ -129,3 +130,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", ~held_out()))
     return score_documents(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document; the counts are those of base spans."""
+    found = find_pii(table(spark, sf_dir, "documents"))
+    of = lambda k: F.filter("base", lambda s: s["kind"] == k)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
