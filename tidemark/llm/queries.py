@@ -12,6 +12,7 @@ from tidemark.llm.bpe import bpe_round_trip, ids_text
 from tidemark.llm.common import fresh_path
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.near_dedup import near_dedup
 from tidemark.llm.pii import KINDS, find_pii, span_text
 from tidemark.llm.quality import held_out, labelled_sample, score_documents, train
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -139,3 +140,32 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda k: F.filter("base", lambda s: s["kind"] == k)
     counts = [F.size(of(k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles have a similarity of 0.8 or more."""
+    return near_dedup(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+ORACLES["op7_near_dedup"] = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex({_LOWER_SQL}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) = 1 THEN [w[1]]
+        ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+    FROM w
+), c AS (SELECT s AS set_, list_sort(s) AS k, doc_id FROM s WHERE len(s) > 0),
+first AS (SELECT k, min(doc_id) AS id, len(k) AS n FROM c GROUP BY k),
+x AS (SELECT id, n, unnest(k) AS g FROM first),
+pairs AS (
+    SELECT a.id AS a, b.id AS b FROM x a JOIN x b ON a.g = b.g AND a.id < b.id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), e AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(id, to_) AS (SELECT id, id FROM first UNION SELECT r.id, e.b FROM reach r JOIN e ON r.to_ = e.a),
+label AS (SELECT id, min(to_) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id, s.doc_id) AS component_id,
+       s.doc_id = coalesce(l.component_id, s.doc_id) AS kept
+FROM s LEFT JOIN c ON c.doc_id = s.doc_id LEFT JOIN first f ON f.k = c.k LEFT JOIN label l ON l.id = f.id
+"""
