@@ -1,12 +1,74 @@
-"""The corpus pipeline over `documents`; see STAGES."""
+"""A training corpus from `documents`, in five stages.
+
+Each stage takes what the one before it kept, and its decisions take effect: rejected documents and dropped lines are
+gone, one document of each near-duplicate group stays, and the mixture takes a document as often as its rate says.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm.bpe import bpe_round_trip, ids_text
+from tidemark.llm.common import written
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.mixing import domain_tokens, fit_rates, mixed, targets
+from tidemark.llm.near_dedup import near_dedup
+from tidemark.llm.quality import held_out, labelled_sample, train, with_posteriors
+from tidemark.llm.queries import QUALITY_THRESHOLD, table
+
+#: Share of tokens for documents of label quality 0 and 1; the second keeps all of its tokens.
+QUALITY_WEIGHTS = [0.005, 0.995]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), F.col("quality"), ~held_out()))
+    return with_posteriors(docs, model).filter(F.col("posterior")[1] >= QUALITY_THRESHOLD).select("doc.*")
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more of them share; n_chars follows the text."""
+    found = line_dedup(docs, min_docs=10)
+    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose sets of five-word shingles have a similarity of 0.8 or more."""
+    stay = near_dedup(docs, words=5, percent=80).filter("kept").select("doc_id")
+    return docs.join(stay, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as a mixture takes them that keeps good ones whole and thins those expected to be poor."""
+    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), F.col("quality"), ~held_out()))
+    rows = written(with_posteriors(docs, model), "posteriors")
+    rate = fit_rates(rows, targets(QUALITY_WEIGHTS, domain_tokens(rows, 2), whole=1))
+    return mixed(rows, rate, F.col("doc.doc_id"))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, checked against the text by decoding them."""
+    found = bpe_round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text("ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("MinHash near-dedup", near_stage),
+    ("mixing to target weights", mixing_stage),
+    ("byte-level BPE", token_stage),
+]
 
-STAGES: list = []
+#: SQL can't express a trained classifier.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over `documents`, each written and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

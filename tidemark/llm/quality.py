@@ -18,13 +18,13 @@ give empty results.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.bpe import chunks
 
@@ -89,49 +89,51 @@ def pair_features(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What a score needs: the weight of every feature, and the output's bias."""
+    """What a score needs, relative to class 0: the weight of every feature (a column per further class), and the biases."""
 
     weights: np.ndarray
-    bias: float
+    bias: np.ndarray
 
     def scorer(self):
-        """Scores of texts, remembering words between calls."""
+        """Function from texts to posteriors (a column per class) that remembers words between calls."""
         known: dict[str, int] = {}
-        held = [np.zeros(0), np.zeros(0), np.zeros(0, np.uint64)]  # of each word: sum of weights, features, hash
+        none = [np.zeros((0, len(self.bias))), np.zeros(0), np.zeros(0, np.uint64)]  # of each word: sum of weights, features, hash
+        held = list(none)
 
         def score(texts: list[str]) -> np.ndarray:
             nonlocal held
             if len(known) > CACHE_WORDS:
                 known.clear()
-                held = [np.zeros(0), np.zeros(0), np.zeros(0, np.uint64)]
+                held = list(none)
             cut = [t.split() for t in texts]
             new = list(dict.fromkeys(w for ws in cut for w in ws if w not in known))
             if new:
                 features, counts, hashes = word_features(new)
-                sums = np.add.reduceat(self.weights[features].astype(np.float64), np.cumsum(counts) - counts)
+                sums = np.add.reduceat(self.weights[features].astype(np.float64), np.cumsum(counts) - counts, axis=0)
                 held = [np.concatenate(x) for x in zip(held, (sums, counts.astype(np.float64), hashes), strict=True)]
                 known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            out = np.full(len(texts), self.bias)
+            z = np.tile(np.append(0.0, self.bias), (len(texts), 1))
             for i, ws in enumerate(cut):
                 if ws:
                     at = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
                     pairs = self.weights[pair_features(held[2][at])]
-                    out[i] += (held[0][at].sum() + pairs.sum(dtype=np.float64)) / (held[1][at].sum() + len(pairs) + PRIOR)
-            return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
+                    z[i, 1:] += (held[0][at].sum(axis=0) + pairs.sum(axis=0, dtype=np.float64)) / (held[1][at].sum() + len(pairs) + PRIOR)
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            return p / p.sum(axis=1, keepdims=True)
 
         return score
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
-    """A model of label 1 against 0, by stochastic gradient descent over the documents in a fixed random order."""
+def train(texts: list[str], labels: list[int], classes: int = 2) -> Model:
+    """A model of labels 0 to classes - 1, by stochastic gradient descent over the documents in a fixed random order."""
     y = np.array(labels, np.int64)
     if not len(y):
-        return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    share = min(max(float(y.mean()), 1 / (len(y) + 2)), 1 - 1 / (len(y) + 2))
+        return Model(np.zeros((BUCKETS, classes - 1), np.float32), np.zeros(classes - 1))
+    share = (np.bincount(y, minlength=classes) + 1) / (len(y) + classes)
     random = np.random.default_rng(SEED)
     vectors = (random.random((BUCKETS, DIM), np.float32) - np.float32(0.5)) / DIM
-    out = np.zeros((DIM, 2), np.float32)
-    bias = np.array([math.log(1 - share), math.log(share)], np.float32)  # fixed: a text without features has the share
+    out = np.zeros((DIM, classes), np.float32)
+    bias = np.log(share).astype(np.float32)  # fixed: a text without features has the share
     docs = []
     for text in texts:
         features, _, hashes = word_features(text.split())
@@ -154,12 +156,12 @@ def train(texts: list[str], labels: list[int]) -> Model:
             out -= rate * np.outer(mean, p)
             # every vector's share of the average scales its gradient; the step is taken relative to the largest share
             vectors[at] -= rate * np.outer(weight / weight.max(), back)
-    return Model((vectors @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+    return Model((vectors @ (out[:, 1:] - out[:, :1])).astype(np.float32), (bias[1:] - bias[0]).astype(np.float64))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCS) -> tuple[list[str], list[int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, learn: Column, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE_DOCS) -> tuple[list[str], list[int]]:
     """Texts and labels of at most `most` labelled documents for which `learn` (a condition on doc_id) holds."""
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), label.cast("int").alias("label"))
     known = known.filter(learn & F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # a bounded number of rows: broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -168,18 +170,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the score of every whole text."""
+    """doc_id and the score of every whole text: the posterior of class 1."""
 
     def run(batches):
         score = model.scorer()
         for batch in batches:
             for part in chunks(batch):
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(score(part["text"].to_pylist()))], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(score(part["text"].to_pylist())[:, 1])], ["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Every row of docs as a struct `doc`, with its words counted (n_tokens) and its posteriors."""
+    whole = docs.select(F.struct("*").alias("doc"))
+    kinds = T.StructType(list(whole.schema.fields)).add("n_tokens", T.LongType()).add("posterior", T.ArrayType(T.DoubleType()))
+
+    def run(batches):
+        score = model.scorer()
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch["doc"].field(text_col).fill_null("")], ["text"])
+            at = 0
+            for part in chunks(texts):
+                rows = part["text"].to_pylist()
+                counts = pa.array([len(t.split()) for t in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch["doc"].slice(at, len(rows)), counts, pa.array(score(rows).tolist(), pa.list_(pa.float64()))], ["doc", "n_tokens", "posterior"])
+                at += len(rows)
+
+    return whole.mapInArrow(run, kinds)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept from training: crc32 of its identifier as text, mod 5, is 0; false for a null one."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

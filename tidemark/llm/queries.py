@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_round_trip, ids_text
-from tidemark.llm.common import fresh_path
+from tidemark.llm.common import fresh_path, written
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.mixing import copies, domain_tokens, fit_rates, targets
 from tidemark.llm.near_dedup import near_dedup
 from tidemark.llm.pii import KINDS, find_pii, span_text
-from tidemark.llm.quality import held_out, labelled_sample, score_documents, train
+from tidemark.llm.quality import held_out, labelled_sample, score_documents, train, with_posteriors
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.top_k import top_k
 from tidemark.llm.warc import read_warc, write_warc
@@ -129,7 +130,7 @@ FROM s QUALIFY rank <= 5
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, learned from labelled documents that aren't held out."""
     docs = table(spark, sf_dir, "documents")
-    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", ~held_out()))
+    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), F.col("quality"), ~held_out()))
     return score_documents(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -169,3 +170,16 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component_id
        s.doc_id = coalesce(l.component_id, s.doc_id) AS kept
 FROM s LEFT JOIN c ON c.doc_id = s.doc_id LEFT JOIN first f ON f.k = c.k LEFT JOIN label l ON l.id = f.id
 """
+
+#: Domains in the order of label quality, and the share of tokens that each is to have in the mixture.
+DOMAINS = {"low": 0.05, "clean": 0.95}
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, expected domains, rate, and how often the mixture takes it."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), F.col("quality"), ~held_out()), classes=len(DOMAINS))
+    rows = written(with_posteriors(docs.select("doc_id", "text"), model).select("doc.doc_id", "n_tokens", "posterior"), "posteriors")
+    rate = fit_rates(rows, targets(list(DOMAINS.values()), domain_tokens(rows, len(DOMAINS))))
+    return rows.select("doc_id", "n_tokens", *(F.col("posterior")[k].alias(f"p_{name}") for k, name in enumerate(DOMAINS)), rate.alias("rate"), copies(rate, F.col("doc_id")).alias("copies"))
