@@ -32,32 +32,69 @@ from tidemark.llm.files import attempt_name, resolve
 #: Sequences of one record batch.
 BATCH_ROWS = 64
 #: Words remembered by a worker before it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 800_000
+#: New words that the tokenizer gets as one text, and what its tokens for the end of a word end in.
+JOINED_WORDS = 1000
+WORD_END = "</w>"
 
 _MANIFEST = "part long, tokens_path string, docs_path string, n_docs long, n_tokens long"
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
 class WordEncoder:
-    """The tokenizer of a file, with the ids of whole words remembered.
+    """The tokenizer of a file, with the ids of whole words remembered, packed as they are written.
 
-    Only for tokenizers that drop white space: a text's ids are then those of its words one after the other.
+    Only for tokenizers that drop white space and case and part letters from signs: a text's ids are then those of its
+    words one after the other, and those of "Word," are those of "word" and of ",".
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.dtype = np.dtype(np.uint16 if size <= 65536 else np.uint32)
+        self.closes = np.zeros(size, bool)  # ids that close a word
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.closes[i] = token.endswith(WORD_END)
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        stems, cut = self.stems, [_stem(w) for w in words]
+        new = {part for pair in cut for part in pair}.difference(stems)
+        plain = [w for w in new if w.isalpha()]
+        other = list(new.difference(plain))
+        # words of letters alone go through the tokenizer as one text, in which each has one id that closes it
+        for k in range(0, len(plain), JOINED_WORDS):
+            part = plain[k : k + JOINED_WORDS]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = ((np.flatnonzero(self.closes[ids]) + 1) * self.dtype.itemsize).tolist()
+            if len(ends) != len(part):  # a letter whose lower case is more than letters
+                other += part
+                continue
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(part, ends, strict=True):
+                stems[w] = raw[start:end]
+                start = end
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            stems[w] = np.array(e.ids, self.dtype).tobytes()
+        for w, (stem, tail) in zip(words, cut, strict=True):
+            self.words[w] = stems[stem] + stems[tail]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        for known in (self.words, self.stems):
+            if len(known) > CACHE_WORDS:
+                known.clear()
         words = self.words
         cut = [t.split(" ") for t in texts]
-        new = list(dict.fromkeys(w for ws in cut for w in ws if w not in words))
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            words[w] = tuple(e.ids)
-        return [[i for w in ws for i in words[w]] for ws in cut]
+        self._learn(list(set().union(*cut).difference(words)))
+        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), self.dtype) for ws in cut]
+
+
+def _stem(word: str) -> tuple[str, str]:
+    """A word as its letters in lower case and a closing full stop or comma, where it is so made; else itself."""
+    splits = word[-1:] in (".", ",") and word[-2:-1].isalnum() and len(word[-2].lower()) == 1
+    stem, tail = (word[:-1], word[-1]) if splits else (word, "")
+    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), tail
 
 
 @lru_cache(maxsize=4)
@@ -71,7 +108,7 @@ class SequenceWriter:
     def __init__(self, sink, length: int, dtype: np.dtype):
         self.length, self.dtype = length, np.dtype(dtype)
         kind = pa.list_(pa.from_numpy_dtype(self.dtype), length)
-        self.schema = pa.schema([("ids", kind), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", kind), ("mask", pa.list_(pa.bool_(), length))])
         self.out = pa.ipc.new_file(sink, self.schema)
         self.held: list[np.ndarray] = []
         self.count = self.total = 0
@@ -89,8 +126,8 @@ class SequenceWriter:
             self.held, self.count = [flat[whole:]], self.count - whole
 
     def _batch(self, ids: np.ndarray, size: int) -> None:
-        padded, mask = np.zeros(size, self.dtype), np.zeros(size, np.uint8)
-        padded[: len(ids)], mask[: len(ids)] = ids, 1
+        padded, mask = np.zeros(size, self.dtype), np.zeros(size, bool)
+        padded[: len(ids)], mask[: len(ids)] = ids, True
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (padded, mask)]
         self.out.write_batch(pa.record_batch(columns, schema=self.schema))
 
@@ -109,14 +146,14 @@ class SequenceFile:
         self.reader = pa.ipc.open_file(self.source)
         self.length = self.reader.schema.field("ids").type.list_size
 
-    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of a batch, each as sequences x length."""
+    def batch(self, k: int) -> tuple[np.ndarray, pa.Array]:
+        """Ids of a batch as sequences x length, and its masks (bits, so as an Arrow array)."""
         found = self.reader.get_batch(k)
-        return tuple(found[name].flatten().to_numpy().reshape(-1, self.length) for name in ("ids", "mask"))
+        return found["ids"].flatten().to_numpy().reshape(-1, self.length), found["mask"]
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.Array]:
         ids, mask = self.batch(i // BATCH_ROWS)
-        return ids[i % BATCH_ROWS], mask[i % BATCH_ROWS]
+        return ids[i % BATCH_ROWS], mask[i % BATCH_ROWS].values
 
     def slices(self, starts: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
         """Ids of consecutive documents, a batch in memory at a time."""
@@ -126,7 +163,7 @@ class SequenceFile:
             have = len(parts[0])
             while have < size:
                 first = k * BATCH_ROWS * self.length
-                held, mask = (x.reshape(-1) for x in self.batch(k))
+                held = self.batch(k)[0].reshape(-1)
                 k += 1
                 parts.append(held)
                 have += len(held)
@@ -160,13 +197,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
                     tokens = attempt_name(folder, f"tokens-{part:06d}", ".arrow")
                     system.create_dir(resolve(folder)[1], recursive=True)
                     sinks = [system.open_output_stream(resolve(p)[1]) for p in (tokens, tokens + ".docs")]
-                    writer = SequenceWriter(sinks[0], length, np.uint16 if max(coder.size, end_id + 1) <= 65536 else np.uint32)
+                    writer = SequenceWriter(sinks[0], length, coder.dtype)
                     index = pa.ipc.new_file(sinks[1], _DOCS)
                 encoded = coder.encode(rows["text"].to_pylist())
                 sizes = np.array([len(x) + 1 for x in encoded])
                 starts = writer.total + np.cumsum(sizes) - sizes
                 for ids in encoded:
-                    writer.add(np.array([*ids, end_id], writer.dtype))
+                    writer.add(np.append(ids, coder.dtype.type(end_id)))
                 index.write_batch(pa.record_batch([rows["doc_id"], pa.array(starts), pa.array(sizes)], schema=_DOCS))
                 n_docs += len(encoded)
         if writer is not None:
