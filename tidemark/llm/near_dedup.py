@@ -8,15 +8,16 @@
    by whole paths, so that a dense region spreads over tasks; rows at the cuts meet in a second, small pass.
 3. Candidates whose signatures agree enough (LOOSE) chain up to clusters. A cluster is more than a component: two
    documents can be in it that no order has brought together, and most of its pairs may be no links.
-4. Links: clusters are dealt to blocks of BLOCK classes, and each block's sets are intersected exactly. Clusters of
-   more than a block are then ordered by the components found so far, and blocks meet each other, except those that
-   are of one component already. So a group of copies costs little more than its size, and a document that is close
+4. Links: clusters are dealt to blocks of BLOCK classes, and each block's sets are intersected exactly. A few classes
+   of a cluster are in all of its blocks. Clusters of more than a block are then dealt anew: each component found so
+   far that fills a block gets blocks of its own, small ones share, and blocks meet each other, except those of one
+   component. So a group of copies costs little more than its size, and a document that is close
    to a single one of thousands is still compared with all of them.
 5. Components of the confirmed links.
 
 Defined results: a null or blank text has the empty set, links with nothing and stays. A text of fewer words than a
 shingle has one shingle, all of its words. Rows with a null identifier have no component, link with nothing and stay.
-Rows of equal identifier are one document, linked through each of its texts. Other columns are ignored; an empty table
+Rows of equal identifier are one document: its texts are linked (an empty one stays alone). Other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import chunks
@@ -43,6 +44,8 @@ NEIGHBOURS = 4
 LOOSE_BELOW = 0.17
 #: Classes of a block.
 BLOCK = 64
+#: Classes of a cluster that all of its blocks hold, on average.
+PIVOTS = 8
 #: Words remembered by a worker before it starts anew.
 CACHE_WORDS = 1_500_000
 
@@ -53,7 +56,7 @@ _XOR = _rng.integers(0, 2**64, _HASHES, np.uint64)
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 #: Bytes of a shingle's hash that are stored.
-_WIDTH = 6
+_WIDTH = 5
 #: A-Z to lower case and white space to spaces, on UTF-8.
 _NORM = bytes(i + 32 if 65 <= i <= 90 else 32 if 9 <= i <= 13 else i for i in range(256))
 
@@ -67,7 +70,7 @@ class _Words(dict):
 
 
 def shingle_hashes(text: str, words: int, known: dict[bytes, int] | None = None) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles, 48 bits each."""
+    """Sorted distinct hashes of a text's shingles, 40 bits each."""
     known = _Words() if known is None else known
     each = np.array([known[w] for w in text.encode("utf-8", "surrogatepass").translate(_NORM).split()], np.uint64)
     if not len(each):
@@ -248,29 +251,9 @@ def _linked(dealt: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return dealt.groupBy(*keys).applyInArrow(run, "a long, b long")
 
 
-def _blocks(members: DataFrame, order: list[str]) -> DataFrame:
-    """Members with their block: the position in the cluster's order, in steps of BLOCK.
-
-    Positions come from sorted ranges rather than from one window per cluster, which a large cluster would fill: a
-    block is BLOCK consecutive rows of a range, and a range holds what a task can.
-    """
-
-    def run(batches):
-        part, at, last = TaskContext.get().partitionId(), 0, None
-        for batch in batches:
-            cluster = batch["cluster"].to_numpy()
-            blocks = np.zeros(len(cluster), np.int64)
-            starts = np.flatnonzero(np.append(True, cluster[1:] != cluster[:-1])) if len(cluster) else []
-            for k, s in enumerate(starts):
-                e = starts[k + 1] if k + 1 < len(starts) else len(cluster)
-                at = at if cluster[s] == last else 0
-                blocks[s:e] = (at + np.arange(e - s)) // BLOCK
-                at, last = at + e - s, cluster[s]
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(blocks * 1_000_000 + part)], [*names, "block"])
-
-    schema = ", ".join(f"{c} {t}" for c, t in members.dtypes) + ", block long"
-    return members.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+def _dealt(sets: DataFrame, parts: Column) -> Column:
+    """A block number by hash, for groups that hold `parts` rows."""
+    return F.pmod(F.xxhash64("doc_id"), F.ceil(parts / BLOCK)).cast("long")
 
 
 def near_links(found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -279,27 +262,39 @@ def near_links(found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     members = cluster.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")).unionByName(cluster.select(F.col("label").alias("doc_id"), F.col("label").alias("cluster")).distinct())
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
     members = written(skew_join(members, sizes, ["cluster"], "size", members.count()), "members")
-    sets = found.join(classes.select("doc_id", "key"), ["doc_id", "key"], "left_semi").select("doc_id", "shingles").join(members, "doc_id")
-    sets = written(_blocks(sets, ["cluster", "doc_id"]), "cluster-sets")
-    first = written(_linked(sets, ["cluster", "block"], percent), "links")
-    if sets.groupBy("cluster").agg(F.count_distinct("block").alias("n")).filter("n > 1").isEmpty():
+    keyed = members.join(classes.select("doc_id", "key"), "doc_id")
+    sets = found.select("doc_id", "key", "shingles").join(keyed, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "cluster", "size", "shingles")
+    sets = written(sets.withColumn("block", _dealt(sets, F.col("size"))), "cluster-sets")
+    # blocks of a cluster; some of its classes, PIVOTS on average, are in all of them, so that blocks of one component find out
+    blocks = F.ceil(F.col("size") / BLOCK)
+    pivot = (blocks > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "doc_id"), F.ceil(F.col("size") / PIVOTS)) == 0)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: b != F.col("block"))
+    copies = sets.filter(pivot).select("doc_id", "cluster", "shingles", F.explode(others).alias("block"))
+    first = written(_linked(sets.select("doc_id", "cluster", "shingles", "block").unionByName(copies), ["cluster", "block"], percent), "links")
+    large = sets.filter(F.col("size") > BLOCK)
+    if large.isEmpty():
         return components(first)
-    # clusters of several blocks: ordered by the components so far, every two blocks that aren't of one component
+    # what is left in clusters of several blocks: classes of different components that have met in no block
     label = written(components(first), "labels")
-    many = sets.groupBy("cluster").agg(F.count_distinct("block").alias("n"), F.count("*").alias("size")).filter("n > 1").select("cluster", "size")
-    large = skew_join(sets.select("doc_id", "shingles", "cluster"), many, ["cluster"], "size", sets.count())
-    large = large.join(label, F.col("doc_id") == F.col("node"), "left").select("doc_id", "shingles", "cluster", F.coalesce("label", "doc_id").alias("label"))
-    large = written(_blocks(large, ["cluster", "label", "doc_id"]), "large-clusters")
-    block = large.groupBy("cluster", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    block = written(block, "blocks")
-    one, two = block.alias("x"), block.alias("y")
-    # blocks of the same cluster, a row for each BLOCK classes; two that are wholly of one component have nothing to find
-    open_pair = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo")))
-    pairs = one.join(two, (F.col("x.cluster") == F.col("y.cluster")) & (F.col("x.block") <= F.col("y.block")) & open_pair)
-    pairs = written(pairs.select(F.col("x.cluster").alias("cluster"), F.col("x.block").alias("p"), F.col("y.block").alias("q")), "block-pairs")
-    sides = pairs.select("cluster", "p", "q", F.col("p").alias("block")).unionByName(pairs.filter("p != q").select("cluster", "p", "q", F.col("q").alias("block")))
-    tiles = large.select("cluster", "block", "doc_id", "shingles").join(sides, ["cluster", "block"])
-    second = _linked(tiles.select("cluster", "p", "q", "doc_id", "shingles"), ["cluster", "p", "q"], percent)
+    large = large.select("doc_id", "cluster", "size", "shingles").join(label, F.col("doc_id") == F.col("node"), "left")
+    large = large.select("doc_id", "cluster", "size", "shingles", F.coalesce("label", "doc_id").alias("label"))
+    of_label = large.groupBy("cluster", "label").agg(F.count("*").alias("own"))
+    of_label = written(of_label, "label-sizes")
+    # a component that fills blocks has blocks of its own, and no pair within it is looked at again; the small ones share
+    pooled = of_label.filter(F.col("own") < BLOCK).groupBy("cluster").agg(F.sum("own").alias("pool"))
+    of_label = of_label.join(pooled, "cluster", "left").select("label", F.when(F.col("own") >= BLOCK, F.col("label")).otherwise(-1).alias("group"), F.when(F.col("own") >= BLOCK, F.col("own")).otherwise(F.col("pool")).alias("parts"), "own")
+    large = skew_join(large, of_label, ["label"], "own", sets.count())
+    large = written(large.select("doc_id", "cluster", "shingles", "group", _dealt(large, F.col("parts")).alias("block")), "large-clusters")
+    block = written(large.groupBy("cluster", "group", "block").agg(F.count("*").alias("rows")), "blocks")
+    one = block.select("cluster", F.col("group").alias("g"), F.col("block").alias("p"))
+    two = block.select("cluster", F.col("group").alias("h"), F.col("block").alias("q"))
+    # a row for each BLOCK classes on both sides; of a component's own blocks no two meet
+    pairs = one.join(two, "cluster").filter((F.struct("g", "p") <= F.struct("h", "q")) & ((F.col("g") != F.col("h")) | (F.col("g") == -1)))
+    pairs = written(pairs, "block-pairs")
+    same = (F.col("g") == F.col("h")) & (F.col("p") == F.col("q"))
+    sides = pairs.select("*", F.col("g").alias("group"), F.col("p").alias("block")).unionByName(pairs.filter(~same).select("*", F.col("h").alias("group"), F.col("q").alias("block")))
+    tiles = large.join(sides, ["cluster", "group", "block"])
+    second = _linked(tiles.select("cluster", "g", "p", "h", "q", "doc_id", "shingles"), ["cluster", "g", "p", "h", "q"], percent)
     return components(written(first.unionByName(second), "all-links"))
 
 
@@ -312,17 +307,16 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     classes = written(found.select("doc_id", "n_shingles", "key", "sig").join(named, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "class-signatures")
     label = written(near_links(found, classes, percent), "components")
     # rows that share an identifier but not the text are one document: their classes are linked
-    joined = written(skew_join(rows.select("doc_id", "key"), groups, ["key"], "n", rows.count()).select("doc_id", "first").distinct(), "row-classes")
-    repeated = joined.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("first").alias("b")).filter("n > 1")
+    repeated = rows.groupBy("doc_id").agg(F.min("key").alias("one"), F.max("key").alias("two")).filter("one != two")
     if not repeated.isEmpty():
-        same = joined.join(repeated.select("doc_id", F.col("a").alias("least")), "doc_id").select(F.col("first").alias("a"), F.col("least").alias("b"))
+        several = rows.join(repeated.select("doc_id"), "doc_id", "left_semi").select("doc_id", "key").distinct()
+        several = several.join(groups, "key").select("doc_id", "first")
+        least = several.groupBy("doc_id").agg(F.min("first").alias("b"))
+        same = several.join(least, "doc_id").select(F.col("first").alias("a"), "b")
         edges = label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(same)
         label = written(components(edges), "components")
-    weight = joined.groupBy(F.col("first").alias("node")).agg(F.count("*").alias("n"))
-    label = label.join(weight, "node")
-    component = skew_join(joined.withColumnRenamed("first", "node"), label, ["node"], "n", joined.count()).groupBy("doc_id").agg(F.min("label").alias("label"))
-    component = joined.groupBy("doc_id").agg(F.min("first").alias("first")).join(component, "doc_id", "left")
-    component = component.select(F.col("doc_id").alias("id"), F.least("first", "label", "id").alias("component_id"))
-    out = found.select("doc_id", "n_shingles").join(component, F.col("doc_id") == F.col("id"), "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = groups.join(label, F.col("first") == F.col("node"), "left").select("key", "n", F.coalesce("label", "first").alias("component_id"))
+    linked = skew_join(found.select("doc_id", "n_shingles", "key").filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)), component, ["key"], "n", rows.count())
+    alone = found.filter(F.col("doc_id").isNull() | (F.col("n_shingles") == 0)).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = linked.select("doc_id", "n_shingles", F.least("component_id", "doc_id").alias("component_id")).unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
