@@ -32,7 +32,10 @@ def roc(close: Column, w: WindowSpec, period: int) -> Column:
 
 def slope(average: Column, w: WindowSpec, bars: int = 3) -> Column:
     """Change of an average per bar, over `bars` bars, relative to its past value."""
-    past = F.lag(average, bars).over(w)
+    return slope_from(average, F.lag(average, bars).over(w), bars)
+
+
+def slope_from(average: Column, past: Column, bars: int = 3) -> Column:
     return F.when(past > 0, (average - past) / (bars * past))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import EmptySequenceError, FeatureAssemblyError
 from tidemark.functions import columns as C
-from tidemark.functions.recursive import with_recursive
+from tidemark.functions.recursive import SLOPE_BARS, with_recursive
 from tidemark.operators.segments import numeric, segmented
 from tidemark.spec import TechnicalFeaturesSpec
 from tidemark.types import FEATURE_NAMES, FIRST_VALID, WARMUP
@@ -17,38 +17,47 @@ from tidemark.types import FEATURE_NAMES, FIRST_VALID, WARMUP
 FAMILIES = {"trend": FEATURE_NAMES[:12], "momentum": FEATURE_NAMES[12:20], "volatility": FEATURE_NAMES[20:27], "volume": FEATURE_NAMES[27:]}
 
 
-def feature_columns() -> dict[str, Column]:
-    """Every feature over rows that have the recursive quantities."""
-    w, close = C.segment_window(), F.col("close")
-    found: dict[str, Column] = {}
+def window_features() -> dict[str, Column]:
+    """Features of a fixed frame, over segmented candles; they need no other shuffle than the segments."""
+    w, close, volume = C.segment_window(), F.col("close"), F.col("volume")
+    average = C.moving_average(volume, w)
+    found = {f"roc{n}": C.roc(close, w, n) for n in (10, 21)} | {f"bb_{name}": x for name, x in C.bollinger(close, w).items()}
+    return found | {"vol_sma20": average, "rvol20": C.relative_volume(volume, average), "taker_buy_share": C.taker_buy_share(F.col("taker_base"), volume)}
+
+
+def recursive_features() -> dict[str, Column]:
+    """Features over rows that have the recursive quantities: projections only."""
+    close, found = F.col("close"), {}
     for n in (20, 50, 200):
         average = F.col(f"ema{n}")
-        found |= {f"ema{n}": average, f"ratio_close_ema{n}": C.ratio(close, average), f"slope_ema{n}": C.slope(average, w)}
+        found |= {f"ema{n}": average, f"ratio_close_ema{n}": C.ratio(close, average), f"slope_ema{n}": C.slope_from(average, F.col(f"ema{n}_past"), SLOPE_BARS)}
     for fast, slow in ((20, 50), (50, 200), (20, 200)):
         found[f"spread_ema{fast}_{slow}"] = C.spread(F.col(f"ema{fast}"), F.col(f"ema{slow}"))
     line = F.col("ema12") - F.col("ema26")
     histogram = line - F.col("macd_signal")
     found |= {"rsi14": F.when(F.col("avg_gain").isNotNull(), C.rsi(F.col("avg_gain"), F.col("avg_loss"))), "macd_line": line, "macd_signal": F.col("macd_signal"), "macd_hist": histogram}
     found |= {"macd_norm": C.percent_of(line, close), "macd_hist_norm": C.percent_of(histogram, close)}
-    found |= {f"roc{n}": C.roc(close, w, n) for n in (10, 21)}
-    found |= {"atr14": F.col("atr14"), "natr14": C.percent_of(F.col("atr14"), close)}
-    found |= {f"bb_{name}": x for name, x in C.bollinger(close, w).items()}
-    average = C.moving_average(F.col("volume"), w)
-    found |= {"vol_sma20": average, "rvol20": C.relative_volume(F.col("volume"), average), "taker_buy_share": C.taker_buy_share(F.col("taker_base"), F.col("volume"))}
-    return {name: found[name] for name in FEATURE_NAMES}
+    return found | {"atr14": F.col("atr14"), "natr14": C.percent_of(F.col("atr14"), close)}
 
 
 def features(candles: DataFrame, only: tuple[str, ...] = FEATURE_NAMES) -> DataFrame:
     """Features of candles: series, times, the features named, segment and flags. One shuffle, by series.
 
+    Frames come first and then the recursion, as its output has no known partitioning. Without a recursive feature
+    there is no Python in the plan.
+
     Values depend on where the candles given begin, so a range is chosen before, by filtering the candles.
     """
     unknown = set(only) - set(FEATURE_NAMES)
     if unknown:
         raise FeatureAssemblyError(f"unknown features: {', '.join(sorted(unknown))}")
-    found = with_recursive(segmented(numeric(candles).select("symbol", "interval", "open_time", "close_time", "high", "low", "close", "volume", "taker_base")))
-    every = feature_columns()
-    return found.select("symbol", "interval", "open_time", "close_time", *(every[n].alias(n) for n in only), "segment_id", "bar_index", "is_gap_boundary", "is_warm")
+    flags = ["segment_id", "bar_index", "is_gap_boundary", "is_warm"]
+    framed, recursive = window_features(), recursive_features()
+    rows = segmented(numeric(candles).select("symbol", "interval", "open_time", "close_time", "high", "low", "close", "volume", "taker_base"))
+    rows = rows.select("symbol", "interval", "open_time", "close_time", "high", "low", "close", *(framed[n].alias(n) for n in only if n in framed), *flags)
+    if any(n in recursive for n in only):
+        rows = with_recursive(rows)
+    return rows.select("symbol", "interval", "open_time", "close_time", *(recursive.get(n, F.col(n)).alias(n) for n in only), *flags)
 
 
 @dataclass(frozen=True)

@@ -59,10 +59,14 @@ def segment_series(close: Sequence[float], high: Sequence[float], low: Sequence[
     out["avg_gain"] = wilder([max(m, 0.0) for m in moves], 14)
     out["avg_loss"] = wilder([max(-m, 0.0) for m in moves], 14)
     out["atr14"] = wilder(ranges, 14)
+    for n in (20, 50, 200):
+        out[f"ema{n}_past"] = ([None] * SLOPE_BARS + out[f"ema{n}"])[: len(close)]
     return out
 
 
-_NAMES = ("ema12", "ema20", "ema26", "ema50", "ema200", "macd_signal", "avg_gain", "avg_loss", "atr14")
+#: Bars between an average and its past value, which a slope needs.
+SLOPE_BARS = 3
+_NAMES = ("ema12", "ema20", "ema26", "ema50", "ema200", "macd_signal", "avg_gain", "avg_loss", "atr14", "ema20_past", "ema50_past", "ema200_past")
 
 
 def with_recursive(segmented: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.types import interval_ms
 
 #: Milliseconds of a timestamp without zone, whatever the session's zone is.
-_MS = "datediff(ts, DATE'1970-01-01') * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L + CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT)"
+EVENT_MS = "datediff(ts, DATE'1970-01-01') * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L + CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,7 @@ def candles(events: DataFrame, interval: str, by_type: bool = True) -> DataFrame
     """Candles of the events' values: a series per event type, or one named ALL. Sums are exact."""
     ms = interval_ms(interval)
     rows = events.filter(F.col("value") > 0).select(
-        (F.col("event_type") if by_type else F.lit("ALL")).alias("symbol"), F.expr(_MS).alias("t"), "event_id",
+        (F.col("event_type") if by_type else F.lit("ALL")).alias("symbol"), F.expr(EVENT_MS).alias("t"), "event_id",
         F.col("value").cast("decimal(18,2)").alias("p"), (F.col("user_id") % 10 + 1).cast("decimal(18,0)").alias("q"), (F.col("event_id") % 2 == 0).alias("taker"),
     ).withColumn("open_time", F.col("t") - F.pmod("t", F.lit(ms)))
     at, own = F.struct("t", "event_id"), F.when(F.col("taker"), 1).otherwise(0)

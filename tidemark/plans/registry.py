@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions.matrix import features
-from tidemark.functions.recursive import with_recursive
 from tidemark.operators.continuity import coverage, gap_report, missing_bars, repair_plan
 from tidemark.operators.segments import numeric, segmented
-from tidemark.operators.store import latest_rows, merged
+from tidemark.operators.store import latest_rows, merged, orphans
 from tidemark.operators.universe import universe_diff
 from tidemark.operators.validation import violations
-from tidemark.plans.adapters import candles, table
+from tidemark.plans.adapters import EVENT_MS, candles, table
 from tidemark.types import FEATURE_NAMES, INTERVAL_MS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -427,15 +426,11 @@ def raw_archive_hash(spark, sf_dir):
 
 @query("SELECT o_orderkey FROM orders ANTI JOIN (SELECT * FROM customer WHERE c_custkey % 9 <> 0) c ON o_custkey = c_custkey")
 def orphan_children(spark, sf_dir):
-    from tidemark.operators.store import orphans
-
     parents = table(spark, sf_dir, "customer").filter("c_custkey % 9 <> 0")
     return orphans(table(spark, sf_dir, "orders"), "o_custkey", parents, "c_custkey").select("o_orderkey")
 
 
 @query(f"""WITH {candles_sql()} SELECT e.event_id, b.open_time AS bar, b.number_of_trades FROM events e JOIN bars b ON b.symbol = e.event_type AND b.open_time = epoch_ms(e.ts) - epoch_ms(e.ts) % 3600000""")
 def lineage(spark, sf_dir):
-    from tidemark.plans.adapters import _MS
-
-    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("symbol"), F.expr(_MS).alias("t")).withColumn("open_time", F.col("t") - F.pmod("t", F.lit(3_600_000)))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("symbol"), F.expr(EVENT_MS).alias("t")).withColumn("open_time", F.col("t") - F.pmod("t", F.lit(3_600_000)))
     return events.join(bars(spark, sf_dir), ["symbol", "open_time"]).select("event_id", F.col("open_time").alias("bar"), "number_of_trades")
