@@ -20,6 +20,8 @@ from tidemark.llm.queries import QUALITY_THRESHOLD, table
 
 #: Share of tokens for documents of label quality 0 and 1; the second keeps all of its tokens.
 QUALITY_WEIGHTS = [0.005, 0.995]
+#: How strongly rates are held at 1 (see fit_rates).
+HOLD = 0.05
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents as often as a mixture takes them that keeps good ones whole and thins those expected to be poor."""
     model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), F.col("quality"), ~held_out()))
     rows = written(with_posteriors(docs, model), "posteriors")
-    rate = fit_rates(rows, targets(QUALITY_WEIGHTS, domain_tokens(rows, 2), whole=1))
+    rate = fit_rates(rows, targets(QUALITY_WEIGHTS, domain_tokens(rows, 2), whole=1), hold=HOLD)
     return mixed(rows, rate, F.col("doc.doc_id"))
 
 

@@ -79,7 +79,7 @@ def test_rates_equal_brute_force(spark):
     data = df.orderBy("doc_id").collect()
     n, p = np.array([r["n_tokens"] for r in data], float), np.array([r["posterior"] for r in data])
     curve = (p * n[:, None]).T @ p
-    weight = 1 / np.diag(curve)
+    weight = 1 / curve.sum(axis=1)
     largest = np.linalg.eigvalsh(np.sqrt(weight)[:, None] * curve * np.sqrt(weight)).max()
     r = np.ones(60)
     for _ in range(60):
@@ -91,6 +91,15 @@ def test_rates_equal_brute_force(spark):
     assert np.allclose(found, r, atol=1e-9)
 
 
+def test_held_rates_leave_one_only_as_far_as_posteriors_differ(spark):
+    alike = written(spark.range(200).selectExpr("id AS doc_id", "10L AS n_tokens", "array(0.1D, 0.9D) AS posterior"), "rows")
+    sharp = written(spark.range(200).selectExpr("id AS doc_id", "10L AS n_tokens", "IF(id < 20, array(1D, 0D), array(0D, 1D)) AS posterior"), "rows")
+    wanted = targets([0.005, 0.995], np.array([200.0, 1800.0]), whole=1)
+    assert alike.select(fit_rates(alike, wanted, hold=0.05).alias("r")).agg(F.min("r")).first()[0] > 0.9
+    rates = {round(r["r"], 3) for r in sharp.select(fit_rates(sharp, wanted, hold=0.05).alias("r")).collect()}
+    assert len(rates) == 2 and min(rates) < 0.12 and max(rates) == pytest.approx(1.0, abs=1e-3)
+
+
 def test_copies_follow_rates(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.struct("id").alias("doc"))
     taken = df.select(copies(F.lit(1.3), F.col("doc_id")).alias("n"))

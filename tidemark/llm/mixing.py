@@ -7,8 +7,8 @@ all documents (a sum per partition first), and a document's rate after any numbe
 posteriors and the steps' few numbers. So nothing but those numbers is kept between steps, and none of them grows
 with the input.
 
-Residuals are weighted by the inverse of each domain's own curvature, and a document's step is taken relative to its
-tokens, which makes rates a function of posteriors alone: long and short documents of one domain are treated alike.
+Residuals are weighted by the inverse of each domain's mass, and a document's step is taken relative to its tokens,
+which makes rates a function of posteriors alone: long and short documents of one domain are treated alike.
 
 Defined results: a null or blank text has no tokens and the labels' share as posteriors; it gets a rate like any other.
 A domain without any mass can't be reached and is left out. Rows are kept apart, also repeated ones and those without
@@ -38,12 +38,13 @@ def targets(weights: list[float], totals: np.ndarray, whole: int | None = None)
     return share * (totals.sum() if whole is None else totals[whole] / share[whole])
 
 
-def _rate(steps: list[np.ndarray], most: float | None) -> Column:
-    """A document's rate after the steps."""
+def _rate(steps: list[np.ndarray], most: float | None, back: float) -> Column:
+    """A document's rate after the steps, each of which also brings it back towards 1 by the share `back`."""
     p = F.col("posterior")
 
     def step(rate: Column, c: Column) -> Column:
-        moved = F.greatest(rate - F.aggregate(F.zip_with(p, c, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+        moved = rate - F.aggregate(F.zip_with(p, c, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+        moved = F.greatest(moved - back * (rate - 1.0), F.lit(0.0))
         return moved if most is None else F.least(moved, F.lit(most))
 
     if not steps:
@@ -51,25 +52,34 @@ def _rate(steps: list[np.ndarray], most: float | None) -> Column:
     return F.aggregate(F.array(*(F.array(*(F.lit(float(v)) for v in c)) for c in steps)), F.lit(1.0), step)
 
 
-def fit_rates(rows: DataFrame, wanted: np.ndarray, most: float | None = None) -> Column:
-    """The rate of each row as an expression over its posterior; rows should be a written table, as each step reads it."""
+def fit_rates(rows: DataFrame, wanted: np.ndarray, most: float | None = None, hold: float = 0.0) -> Column:
+    """The rate of each row as an expression over its posterior; rows should be a written table, as each step reads it.
+
+    hold is the weight of rates' squared distance from 1, by tokens, against the domains' squared relative errors. At 0
+    the targets are met where rates can meet them, which takes extreme rates where posteriors hardly differ; above 0
+    rates leave 1 only as far as posteriors tell documents apart.
+    """
     k = len(wanted)
     n, p = F.col("n_tokens"), F.col("posterior")
     sums = rows.agg(*(F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k))).first()
     curve = np.array([x or 0.0 for x in sums]).reshape(k, k)
-    own = np.diag(curve)
+    own = curve.sum(axis=1)  # posteriors sum to 1, so this is each domain's mass
     weight = np.where(own > 0, 1 / np.maximum(own, 1e-300), 0.0)
     root = np.sqrt(weight)
-    largest = np.linalg.eigvalsh(root[:, None] * curve * root).max(initial=0)
+    largest = np.linalg.eigvalsh(root[:, None] * curve * root).max(initial=0) + hold
     steps: list[np.ndarray] = []
-    while len(steps) < STEPS and largest > 0:
-        rate = _rate(steps, most)
+    before = np.full(k, np.inf)
+    while len(steps) < STEPS and largest > hold:
+        rate = _rate(steps, most, hold / largest)
         have = rows.select(rate.alias("rate"), "n_tokens", "posterior").agg(*(F.sum(F.col("rate") * n * p[i]) for i in range(k))).first()
         miss = np.array([x or 0.0 for x in have]) - wanted
-        if (np.abs(miss[own > 0]) <= TOLERANCE * np.maximum(wanted[own > 0], TOLERANCE * wanted.sum())).all():
+        allowed = TOLERANCE * np.maximum(wanted, TOLERANCE * wanted.sum())
+        settled = np.abs(miss if not hold else miss - before)
+        if (settled[own > 0] <= (allowed if not hold else allowed / 10)[own > 0]).all():
             break
+        before = miss
         steps.append(weight * miss / largest)
-    return _rate(steps, most)
+    return _rate(steps, most, hold / largest if largest else 0.0)
 
 
 def copies(rate: Column, key: Column, seed: int = 0) -> Column:
