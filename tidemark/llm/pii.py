@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import Boosted, boost
-from tidemark.llm.common import written
+from tidemark.llm.common import smallest_hashes, written
 
 #: Candidates to learn from, at most, and the share of right ones that a threshold must reach on the calibration part.
 SAMPLE = 6000
@@ -210,7 +210,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     kept = written(rows.select("doc_id", "base", featured.alias("cands")), "pii-candidates")
     shown = kept.select("doc_id", F.explode("cands").alias("c")).select("c.x", "c.right", F.xxhash64("doc_id", "c.start", "c.kind").alias("h"), "doc_id")
-    sample = shown.orderBy("h", "doc_id").limit(SAMPLE).collect()
+    sample = smallest_hashes(shown, "h", ["doc_id"], SAMPLE).collect()
     chosen = fit(np.array([r["x"] for r in sample], np.float64).reshape(-1, len(_FEATURES)), np.array([r["right"] for r in sample], np.float64))
 
     def margin(c: Column) -> Column:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import chunks
+from tidemark.llm.common import smallest_hashes
 
 #: Labelled documents to learn from, at most.
 SAMPLE_DOCS = 4000
@@ -163,7 +164,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, learn: Co
     """Texts and labels of at most `most` labelled documents for which `learn` (a condition on doc_id) holds."""
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), label.cast("int").alias("label"))
     known = known.filter(learn & F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # a bounded number of rows: broadcast
+    picked = smallest_hashes(known.withColumn("h", F.xxhash64("doc_id")), "h", ["doc_id"], most).drop("h")  # a bounded number of rows: broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = rows.join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").limit(most).collect()
     return [r["text"] for r in found], [r["label"] for r in found]
