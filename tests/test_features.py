@@ -126,6 +126,8 @@ def test_matrix_access(spark):
     assert matrix.column("ema20").columns == ["symbol", "interval", "open_time", "ema20"]
     with pytest.raises(KeyError):
         matrix.column("x")
+    arrays = matrix.arrays("BTCUSDT", "1h")
+    assert len(arrays) == 32 and np.isnan(arrays["ema20"][:19]).all() and np.isfinite(arrays["ema20"][19:]).all() and arrays["open_time"].dtype == np.int64
     meta = matrix.metadata().first()
     assert (meta["start_time"], meta["end_time"], meta["segments"]) == (0, 29 * H, 1)
 

@@ -68,6 +68,17 @@ def test_klines_upsert_and_lookups(store):
     assert store.table("klines").count() == 4
 
 
+def test_only_touched_series_are_rewritten(store):
+    store.upsert_symbols([COIN | {"symbol": "ETHUSDT"}])
+    store.upsert_klines([kline(0), kline(0, symbol="ETHUSDT"), kline(H, symbol="ETHUSDT")])
+    before = store._pointer()["tables"]["klines"]
+    store.upsert_klines([kline(0, "50600")])
+    after = store._pointer()["tables"]["klines"]
+    assert [k for k in after if after[k] != before[k]] == ["1h/BTCUSDT"] and len(after) == 2
+    assert store.table("klines").count() == 3 and store.klines("ETHUSDT", "1h").count() == 2 and store.klines("ETHUSDT", "5m").count() == 0
+    assert len(store.klines("ETHUSDT", "1h").inputFiles()) < len(store.table("klines").inputFiles())
+
+
 def test_scalars():
     assert decimal_text("1.50") == Decimal("1.50")
     for wrong, error in ((1.5, TypeError), (True, TypeError), ("NaN", ValueError), ("x", ValueError)):
@@ -183,7 +194,7 @@ def test_pacing_follows_the_used_weight():
     waits, exchange = [], Exchange(0)
     client = RestClient("http://x", exchange)
     for told, wait in (("900", 0.5), ("1001", 1.0), ("x", 0.2), ("10", 0.2)):
-        exchange.headers = {"X-MBX-USED-WEIGHT-1m": told}
+        exchange.headers = {"X-Used-Weight-1m": told}
         client.klines("A", "1h")
         Retry(sleep=waits.append).pace(client)
         assert waits[-1] == wait

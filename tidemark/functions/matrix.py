@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +86,11 @@ class FeatureMatrix:
     def shape(self) -> tuple[int, int]:
         return self.count(), len(self.column_names)
 
+    def arrays(self, symbol: str, interval: str) -> dict[str, np.ndarray]:
+        """One series as arrays in time order, NaN where a feature isn't available; it must fit into memory."""
+        rows = self.frame.filter((F.col("symbol") == symbol) & (F.col("interval") == interval)).select(*self.column_names).orderBy("open_time").toArrow()
+        return {n: rows[n].to_numpy() if n in ("open_time", "close_time") else rows[n].to_pandas().to_numpy(np.float64) for n in self.column_names}
+
     def metadata(self) -> DataFrame:
         """A row per series: its first and last open time, rows, segments, and the specification."""
         return self.frame.groupBy("symbol", "interval").agg(

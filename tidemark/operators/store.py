@@ -2,7 +2,8 @@
 
 A write makes a new version directory of the tables it touches and then moves one pointer, a small file that names the
 current directory of every table: what belongs together becomes visible together, and a failed write leaves nothing
-behind that is read. Candles are partitioned by interval and symbol.
+behind that is read. For candles the pointer names a directory per series, so that an upsert rewrites the series that
+it touches and no others, and a lookup reads one series.
 """
 
 from __future__ import annotations
@@ -133,9 +134,17 @@ class Store:
         if name not in TABLES:
             raise StoreError(f"no table {name}")
         at = (self._pointer() or {"tables": {}})["tables"].get(name)
-        if at is None:
+        return self._read(name, list(at.values()) if isinstance(at, dict) else [at] if at else [])
+
+    def _read(self, name: str, paths: list[str]) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{at}")
+        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self.folder}/{p}" for p in paths))
+
+    def _series(self, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+        """Candles of some series (interval, symbol)."""
+        at = (self._pointer() or {"tables": {}})["tables"].get("klines", {})
+        return self._read("klines", [at[k] for k in (f"{i}/{s}" for i, s in pairs) if k in at])
 
     def _write(self, frames: dict[str, DataFrame]) -> None:
         """New versions of some tables, visible together."""
@@ -144,9 +153,16 @@ class Store:
             raise StoreError("the store isn't initialized")
         tables = dict(pointer["tables"])
         for name, df in frames.items():
-            tables[name] = f"data/{name}/{pointer['number'] + 1:012d}-{uuid.uuid4().hex}"
-            writer = df.sortWithinPartitions("symbol", "interval", "open_time") if name == "klines" else df
-            writer.write.parquet(f"{self.folder}/{tables[name]}")
+            path = f"data/{name}/{pointer['number'] + 1:012d}-{uuid.uuid4().hex}"
+            if name == "klines":
+                rows = df.withColumns({"p_interval": F.col("interval"), "p_symbol": F.col("symbol")}).sortWithinPartitions("p_interval", "p_symbol", "open_time")
+                rows.write.partitionBy("p_interval", "p_symbol").parquet(f"{self.folder}/{path}")
+                escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+                touched = self.spark.read.parquet(f"{self.folder}/{path}").select("interval", "symbol").distinct().collect()  # a row per series written
+                tables[name] = tables.get(name, {}) | {f"{r[0]}/{r[1]}": f"{path}/p_interval={escape(r[0])}/p_symbol={escape(r[1])}" for r in touched}
+            else:
+                df.write.parquet(f"{self.folder}/{path}")
+                tables[name] = path
         self._commit(pointer | {"number": pointer["number"] + 1, "tables": tables})
 
     def _frame(self, name: str, rows: Sequence[dict]) -> DataFrame:
@@ -258,7 +274,7 @@ class Store:
     def upsert_kline_frame(self, new: DataFrame, count: int | None = None) -> int:
         """Candles of a frame with batch_pos written or replaced."""
         self._check_parents("klines", new)
-        old = self.table("klines")
+        old = self._series([tuple(r) for r in new.select("interval", "symbol").distinct().collect()])
         n = new.count() if count is None else count
         self._write({"klines": merged(old, new.select(*old.columns, "batch_pos"), KEYS["klines"], "batch_pos").select(*old.columns)})
         return n
@@ -268,9 +284,10 @@ class Store:
         typed = kline_row(row)
         new = self._frame("klines", [typed])
         self._check_parents("klines", new)
-        if not self.table("klines").join(new, KEYS["klines"], "left_semi").isEmpty():
+        old = self._series([(typed["interval"], typed["symbol"])])
+        if not old.join(new, KEYS["klines"], "left_semi").isEmpty():
             raise StoreIntegrityError(f"candle {[typed[k] for k in KEYS['klines']]} exists")
-        self._write({"klines": self.table("klines").unionByName(new)})
+        self._write({"klines": old.unionByName(new)})
 
     # lookups
 
@@ -291,7 +308,7 @@ class Store:
 
     def klines(self, symbol: str, interval: str) -> DataFrame:
         interval_ms(interval)
-        return self.table("klines").filter((F.col("symbol") == symbol_name(symbol)) & (F.col("interval") == interval))
+        return self._series([(interval, symbol_name(symbol))])
 
     def kline_range(self, symbol: str, interval: str, start: int, end: int) -> DataFrame:
         """Candles from start on and before end."""

@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
+from enum import Enum
+
 # The kline intervals and their lengths in milliseconds.
 INTERVAL_MS = {"5m": 300_000, "15m": 900_000, "1h": 3_600_000, "4h": 14_400_000, "1d": 86_400_000}
 
+
+class KlineInterval(str, Enum):
+    """The intervals as an enumeration."""
+
+    M5 = "5m"
+    M15 = "15m"
+    H1 = "1h"
+    H4 = "4h"
+    D1 = "1d"
+
+    @classmethod
+    def from_value(cls, value: str) -> KlineInterval:
+        interval_ms(value)
+        return cls(getattr(value, "value", value))
+
+
 # The features in canonical order, each with the first bar of a segment that has it, and its warm-up bars.
 FEATURES = {
     "ema20": (19, 60),
