@@ -42,6 +42,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that are deleted at the end of a with block; what leaves the block has to be written elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths = []
+
+    def __exit__(self, *_: object) -> None:
+        self.clear()
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
     """Inner join to right, unique on keys, whose column `weight` counts the rows of left (`total` in all) that a key meets.
 

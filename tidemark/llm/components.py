@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import skew_join, written
+from tidemark.llm.common import Scratch, skew_join, written
 
 #: Edges that a task contracts at a time before the first step.
 CONTRACT_EDGES = 1_000_000
@@ -70,14 +70,18 @@ def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
     return out.filter(F.col("a") != F.col("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of the edges (a, b) that isn't its component's smallest; label is the smallest."""
+def components(edges: DataFrame, name: str = "components", keep: Scratch | None = None) -> DataFrame:
+    """(node, label) of every node of the edges (a, b) that isn't its component's smallest; label is the smallest.
+
+    The result is a written table, in `keep` if given.
+    """
     ordered = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = written(_contracted(ordered).distinct(), "edges")
-    while True:
-        # stars: no node is both a leaf and a hub, and every leaf has one hub
-        total, leaves = now.agg(F.count("*"), F.count_distinct("a")).first()
-        if total == leaves and now.select(F.col("b").alias("a")).join(now, "a", "left_semi").isEmpty():
-            return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        now = written(_star(now, total, large=True), "edges")
-        now = written(_star(now, now.count(), large=False), "edges")
+    with Scratch(edges.sparkSession) as tmp:
+        now = tmp.written(_contracted(ordered).distinct(), "edges")
+        while True:
+            # stars: no node is both a leaf and a hub, and every leaf has one hub
+            total, leaves = now.agg(F.count("*"), F.count_distinct("a")).first()
+            if total == leaves and now.select(F.col("b").alias("a")).join(now, "a", "left_semi").isEmpty():
+                return (keep.written if keep else written)(now.select(F.col("a").alias("node"), F.col("b").alias("label")), name)
+            now = tmp.written(_star(now, total, large=True), "edges")
+            now = tmp.written(_star(now, now.count(), large=False), "edges")

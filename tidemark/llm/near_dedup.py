@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import chunks
-from tidemark.llm.common import skew_join, written
+from tidemark.llm.common import Scratch, skew_join, written
 from tidemark.llm.components import components, forest
 
 TREES = 16
@@ -181,7 +181,7 @@ def _cut_rows(rows: pa.Table, cut: int, tail: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([column("doc_id"), pa.nulls(n, pa.int64()), pa.array([cut] * n, pa.int64()), pa.array([tail] * n, pa.bool_()), column("tree"), column("path"), column("n_shingles"), column("small")], schema=_FOUND_SCHEMA)
 
 
-def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
+def candidate_pairs(classes: DataFrame, percent: int, tmp: Scratch) -> DataFrame:
     """(a, b), a > b, of classes that are neighbours in some order and look similar."""
 
     def run(batches):
@@ -206,7 +206,7 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     ordered = entries(classes).repartitionByRange("tree", "path", "doc_id").sortWithinPartitions("tree", "path", "doc_id")
-    found = written(ordered.mapInArrow(run, _FOUND), "forest")
+    found = tmp.written(ordered.mapInArrow(run, _FOUND), "forest")
     inside = found.filter(F.col("b").isNotNull()).select("a", "b")
     cuts = found.filter(F.col("cut").isNotNull()).groupBy("cut").applyInArrow(across, "a long, b long")
     return inside.unionByName(cuts)
@@ -256,56 +256,70 @@ def _dealt(sets: DataFrame, parts: Column) -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.ceil(parts / BLOCK)).cast("long")
 
 
-def near_links(found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(node, label): components of confirmed links between classes; found has the features of all rows."""
-    cluster = written(components(candidate_pairs(classes, percent)), "clusters")
+def near_links(found: DataFrame, classes: DataFrame, percent: int, keep: Scratch) -> DataFrame:
+    """(node, label): components of confirmed links between classes, written in `keep`; found has the features of all rows."""
+    with Scratch(found.sparkSession) as tmp:
+        return _near_links(found, classes, percent, tmp, keep)
+
+
+def _near_links(found: DataFrame, classes: DataFrame, percent: int, tmp: Scratch, keep: Scratch) -> DataFrame:
+    with Scratch(found.sparkSession) as forest_tables:
+        cluster = components(candidate_pairs(classes, percent, forest_tables), "clusters", tmp)
     members = cluster.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")).unionByName(cluster.select(F.col("label").alias("doc_id"), F.col("label").alias("cluster")).distinct())
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
-    members = written(skew_join(members, sizes, ["cluster"], "size", members.count()), "members")
+    members = tmp.written(skew_join(members, sizes, ["cluster"], "size", members.count()), "members")
     keyed = members.join(classes.select("doc_id", "key"), "doc_id")
     sets = found.select("doc_id", "key", "shingles").join(keyed, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "cluster", "size", "shingles")
-    sets = written(sets.withColumn("block", _dealt(sets, F.col("size"))), "cluster-sets")
+    sets = tmp.written(sets.withColumn("block", _dealt(sets, F.col("size"))), "cluster-sets")
     # blocks of a cluster; some of its classes, PIVOTS on average, are in all of them, so that blocks of one component find out
     blocks = F.ceil(F.col("size") / BLOCK)
     pivot = (blocks > 1) & (F.pmod(F.xxhash64(F.lit("pivot"), "doc_id"), F.ceil(F.col("size") / PIVOTS)) == 0)
     others = F.filter(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: b != F.col("block"))
     copies = sets.filter(pivot).select("doc_id", "cluster", "shingles", F.explode(others).alias("block"))
-    first = written(_linked(sets.select("doc_id", "cluster", "shingles", "block").unionByName(copies), ["cluster", "block"], percent), "links")
+    first = tmp.written(_linked(sets.select("doc_id", "cluster", "shingles", "block").unionByName(copies), ["cluster", "block"], percent), "links")
     large = sets.filter(F.col("size") > BLOCK)
     if large.isEmpty():
-        return components(first)
+        return components(first, keep=keep)
     # what is left in clusters of several blocks: classes of different components that have met in no block
-    label = written(components(first), "labels")
+    label = components(first, "labels", tmp)
     large = large.select("doc_id", "cluster", "size", "shingles").join(label, F.col("doc_id") == F.col("node"), "left")
     large = large.select("doc_id", "cluster", "size", "shingles", F.coalesce("label", "doc_id").alias("label"))
     of_label = large.groupBy("cluster", "label").agg(F.count("*").alias("own"))
-    of_label = written(of_label, "label-sizes")
+    of_label = tmp.written(of_label, "label-sizes")
     # a component that fills blocks has blocks of its own, and no pair within it is looked at again; the small ones share
     pooled = of_label.filter(F.col("own") < BLOCK).groupBy("cluster").agg(F.sum("own").alias("pool"))
     of_label = of_label.join(pooled, "cluster", "left").select("label", F.when(F.col("own") >= BLOCK, F.col("label")).otherwise(-1).alias("group"), F.when(F.col("own") >= BLOCK, F.col("own")).otherwise(F.col("pool")).alias("parts"), "own")
     large = skew_join(large, of_label, ["label"], "own", sets.count())
-    large = written(large.select("doc_id", "cluster", "shingles", "group", _dealt(large, F.col("parts")).alias("block")), "large-clusters")
-    block = written(large.groupBy("cluster", "group", "block").agg(F.count("*").alias("rows")), "blocks")
+    large = tmp.written(large.select("doc_id", "cluster", "shingles", "group", _dealt(large, F.col("parts")).alias("block")), "large-clusters")
+    block = tmp.written(large.groupBy("cluster", "group", "block").agg(F.count("*").alias("rows")), "blocks")
     one = block.select("cluster", F.col("group").alias("g"), F.col("block").alias("p"))
     two = block.select("cluster", F.col("group").alias("h"), F.col("block").alias("q"))
     # a row for each BLOCK classes on both sides; of a component's own blocks no two meet
     pairs = one.join(two, "cluster").filter((F.struct("g", "p") <= F.struct("h", "q")) & ((F.col("g") != F.col("h")) | (F.col("g") == -1)))
-    pairs = written(pairs, "block-pairs")
+    pairs = tmp.written(pairs, "block-pairs")
     same = (F.col("g") == F.col("h")) & (F.col("p") == F.col("q"))
     sides = pairs.select("*", F.col("g").alias("group"), F.col("p").alias("block")).unionByName(pairs.filter(~same).select("*", F.col("h").alias("group"), F.col("q").alias("block")))
     tiles = large.join(sides, ["cluster", "group", "block"])
     second = _linked(tiles.select("cluster", "g", "p", "h", "q", "doc_id", "shingles"), ["cluster", "g", "p", "h", "q"], percent)
-    return components(written(first.unionByName(second), "all-links"))
+    return components(first.unionByName(second), keep=keep)
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's doc_id, n_shingles, component_id (the smallest doc_id that links reach) and kept (it is that one)."""
-    found = written(features(docs, words, id_col, text_col), "shingles")
+    """Every row's doc_id, n_shingles, component_id (the smallest doc_id that links reach) and kept (it is that one).
+
+    The result is a written table; all else that is written on the way is deleted.
+    """
+    with Scratch(docs.sparkSession) as tmp:
+        return written(_near_dedup(docs, words, percent, id_col, text_col, tmp), "near-dedup")
+
+
+def _near_dedup(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, tmp: Scratch) -> DataFrame:
+    found = tmp.written(features(docs, words, id_col, text_col), "shingles")
     rows = found.select("doc_id", "n_shingles", "key").filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    groups = written(rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "classes")
+    groups = tmp.written(rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "classes")
     named = groups.select(F.col("first").alias("doc_id"), "key")
-    classes = written(found.select("doc_id", "n_shingles", "key", "sig").join(named, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "class-signatures")
-    label = written(near_links(found, classes, percent), "components")
+    classes = tmp.written(found.select("doc_id", "n_shingles", "key", "sig").join(named, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "class-signatures")
+    label = near_links(found, classes, percent, tmp)
     # rows that share an identifier but not the text are one document: their classes are linked
     repeated = rows.groupBy("doc_id").agg(F.min("key").alias("one"), F.max("key").alias("two")).filter("one != two")
     if not repeated.isEmpty():
@@ -314,7 +328,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
         least = several.groupBy("doc_id").agg(F.min("first").alias("b"))
         same = several.join(least, "doc_id").select(F.col("first").alias("a"), "b")
         edges = label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(same)
-        label = written(components(edges), "components")
+        label = components(edges, keep=tmp)
     component = groups.join(label, F.col("first") == F.col("node"), "left").select("key", "n", F.coalesce("label", "first").alias("component_id"))
     linked = skew_join(found.select("doc_id", "n_shingles", "key").filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)), component, ["key"], "n", rows.count())
     alone = found.filter(F.col("doc_id").isNull() | (F.col("n_shingles") == 0)).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
