@@ -24,6 +24,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,8 @@ _WIDTH = 5
 #: A-Z to lower case and white space to spaces, on UTF-8.
 _NORM = bytes(i + 32 if 65 <= i <= 90 else 32 if 9 <= i <= 13 else i for i in range(256))
 
-_FEATURES = "doc_id long, n_shingles long, key binary, sig binary, shingles binary"
+_SIGNED = "doc_id long, n_shingles long, key binary, sig binary"
+_SETS = "doc_id long, key binary, shingles binary"
 
 
 class _Words(dict):
@@ -104,8 +106,8 @@ def _unpack(raw: bytes) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
-def features(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """Shingles, their number, a key of the set, and the signature, of every row."""
+def features(docs: DataFrame, words: int, id_col: str, text_col: str, sets: bool = False) -> DataFrame:
+    """Number of shingles, a key of the set, and the signature of every row; or, with sets, the key and the set itself."""
 
     def run(batches):
         known = _Words()
@@ -113,15 +115,17 @@ def features(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
             for part in chunks(batch):
                 if len(known) > CACHE_WORDS:
                     known.clear()
-                sets = [shingle_hashes(t, words, known) for t in part["text"].to_pylist()]
-                packed = [_pack(s) for s in sets]
-                keys = [hashlib.blake2b(p, digest_size=16).digest() for p in packed]
-                sigs = [signature(s).astype(">u4").tobytes() for s in sets]
-                columns = [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.binary()) for x in (keys, sigs, packed))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "key", "sig", "shingles"])
+                found = [shingle_hashes(t, words, known) for t in part["text"].to_pylist()]
+                packed = [_pack(s) for s in found]
+                keys = pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in packed], pa.binary())
+                if sets:
+                    yield pa.RecordBatch.from_arrays([part["doc_id"], keys, pa.array(packed, pa.binary())], ["doc_id", "key", "shingles"])
+                else:
+                    sigs = pa.array([signature(s).astype(">u4").tobytes() for s in found], pa.binary())
+                    yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([len(s) for s in found], pa.int64()), keys, sigs], ["doc_id", "n_shingles", "key", "sig"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, _FEATURES)
+    return rows.mapInArrow(run, _SETS if sets else _SIGNED)
 
 
 # -- the forest ------------------------------------------------------------------------------------------------------
@@ -256,20 +260,20 @@ def _dealt(sets: DataFrame, parts: Column) -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.ceil(parts / BLOCK)).cast("long")
 
 
-def near_links(found: DataFrame, classes: DataFrame, percent: int, keep: Scratch) -> DataFrame:
-    """(node, label): components of confirmed links between classes, written in `keep`; found has the features of all rows."""
-    with Scratch(found.sparkSession) as tmp:
-        return _near_links(found, classes, percent, tmp, keep)
+def near_links(sets_of: Callable[[DataFrame], DataFrame], classes: DataFrame, percent: int, keep: Scratch) -> DataFrame:
+    """(node, label): components of confirmed links between classes, written in `keep`; sets_of gives the sets of the rows with some identifiers."""
+    with Scratch(classes.sparkSession) as tmp:
+        return _near_links(sets_of, classes, percent, tmp, keep)
 
 
-def _near_links(found: DataFrame, classes: DataFrame, percent: int, tmp: Scratch, keep: Scratch) -> DataFrame:
-    with Scratch(found.sparkSession) as forest_tables:
+def _near_links(sets_of: Callable[[DataFrame], DataFrame], classes: DataFrame, percent: int, tmp: Scratch, keep: Scratch) -> DataFrame:
+    with Scratch(classes.sparkSession) as forest_tables:
         cluster = components(candidate_pairs(classes, percent, forest_tables), "clusters", tmp)
     members = cluster.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")).unionByName(cluster.select(F.col("label").alias("doc_id"), F.col("label").alias("cluster")).distinct())
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
     members = tmp.written(skew_join(members, sizes, ["cluster"], "size", members.count()), "members")
     keyed = members.join(classes.select("doc_id", "key"), "doc_id")
-    sets = found.select("doc_id", "key", "shingles").join(keyed, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "cluster", "size", "shingles")
+    sets = sets_of(members.select("doc_id")).join(keyed, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "cluster", "size", "shingles")
     sets = tmp.written(sets.withColumn("block", _dealt(sets, F.col("size"))), "cluster-sets")
     # blocks of a cluster; some of its classes, PIVOTS on average, are in all of them, so that blocks of one component find out
     blocks = F.ceil(F.col("size") / BLOCK)
@@ -314,12 +318,14 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
 
 
 def _near_dedup(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, tmp: Scratch) -> DataFrame:
-    found = tmp.written(features(docs, words, id_col, text_col), "shingles")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = tmp.written(features(texts, words, "doc_id", "text"), "signatures")
     rows = found.select("doc_id", "n_shingles", "key").filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     groups = tmp.written(rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "classes")
     named = groups.select(F.col("first").alias("doc_id"), "key")
     classes = tmp.written(found.select("doc_id", "n_shingles", "key", "sig").join(named, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]), "class-signatures")
-    label = near_links(found, classes, percent, tmp)
+    # sets are made again for the rows in clusters alone: less than keeping those of all rows
+    label = near_links(lambda ids: features(texts.join(ids, "doc_id", "left_semi"), words, "doc_id", "text", sets=True), classes, percent, tmp)
     # rows that share an identifier but not the text are one document: their classes are linked
     repeated = rows.groupBy("doc_id").agg(F.min("key").alias("one"), F.max("key").alias("two")).filter("one != two")
     if not repeated.isEmpty():
