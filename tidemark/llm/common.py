@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -62,6 +63,9 @@ class Scratch:
             at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
         self.paths = []
+        # Spark removes shuffle files when the driver's garbage collector finds their plans unreachable; on a large heap that is late
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def __exit__(self, *_: object) -> None:
         self.clear()
