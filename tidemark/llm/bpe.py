@@ -20,11 +20,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of text encoded at a time.
+#: Bytes of text encoded at a time.
 CHUNK_CHARS = 4_000_000
 #: Matches and words remembered by a worker before it starts anew.
 CACHE_ENTRIES = 1_000_000
@@ -238,8 +239,8 @@ def encoder(path: str, pattern: str) -> BytePairEncoder:
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with about `most` characters each, or one row."""
-    size = np.cumsum([len(t) for t in batch[column].to_pylist()]) if batch.num_rows else np.zeros(0)
+    """Slices of the batch with about `most` bytes of text each, or one row."""
+    size = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
         base = size[start - 1] if start else 0

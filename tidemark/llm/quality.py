@@ -42,7 +42,9 @@ EPOCHS = 5
 RATE = 2.0
 SEED = 7
 #: Words remembered by a worker before it starts anew.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 800_000
+#: Bytes of text scored at a time.
+CHUNK_BYTES = 1_000_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,7 +178,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     def run(batches):
         score = model.scorer()
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most=CHUNK_BYTES):
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(score(part["text"].to_pylist())[:, 1])], ["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -193,7 +195,7 @@ def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> Da
         for batch in batches:
             texts = pa.RecordBatch.from_arrays([batch["doc"].field(text_col).fill_null("")], ["text"])
             at = 0
-            for part in chunks(texts):
+            for part in chunks(texts, most=CHUNK_BYTES):
                 rows = part["text"].to_pylist()
                 counts = pa.array([len(t.split()) for t in rows], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch["doc"].slice(at, len(rows)), counts, pa.array(score(rows).tolist(), pa.list_(pa.float64()))], ["doc", "n_tokens", "posterior"])
