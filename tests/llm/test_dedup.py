@@ -118,6 +118,18 @@ def test_near_dedup_equals_brute_force(spark, n):
     assert {tuple(r) for r in found.collect()} == brute_near(rows, n)
 
 
+def test_near_dedup_finds_pairs_among_many_documents_of_the_same_passages(spark):
+    """Any two documents have a similarity of about 0.45, made of what thousands share, and a few pairs one over 0.8."""
+    rng = np.random.default_rng(8)
+    slots = np.char.add("w", np.arange(800).astype(str)).reshape(400, 2)
+    made = [slots[np.arange(400), (rng.random(400) > 0.745).astype(int)] for _ in range(5000)]
+    for i in range(100):  # documents 5000 + i: copies of i with 10 % of the words replaced
+        made.append(np.where(rng.permutation(400) < 40, np.char.add(f"x{i}-", np.arange(400).astype(str)), made[i]))
+    rows = [(i, " ".join(w)) for i, w in enumerate(made)]
+    found = near_dedup(spark.createDataFrame(rows, DOCS).repartition(8), 1, 80)
+    assert {(r["doc_id"], r["component_id"]) for r in found.filter("NOT kept").collect()} == {(5000 + i, i) for i in range(100)}
+
+
 def test_near_dedup_of_odd_rows(spark, odd_docs, no_docs):
     found = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in near_dedup(odd_docs, 2).collect()}
     assert found[1, 0] == (1, True) and found[2, 0] == (2, True) and found[3, 0] == (3, True)

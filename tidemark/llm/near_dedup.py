@@ -4,8 +4,10 @@
    of equal sets are one class from here on, stood for by the smallest identifier.
 2. The forest: every tree orders all classes by its own DEPTH hashes. In an order, the rows with the longest common
    prefix stand next to each other, so a row's NEIGHBOURS predecessors are its candidates: in a sparse region of an
-   order they reach down to a prefix of a single hash, in a dense one they agree in many. Orders are range-partitioned
-   by whole paths, so that a dense region spreads over tasks; rows at the cuts meet in a second, small pass.
+   order they reach down to a prefix of a single hash. Rows that agree in REGION hashes are a region, and all of its
+   rows are candidates of each other: in the order as far as WINDOW rows back, and of longer regions in a second pass,
+   by blocks, those of different clusters (see 3). Orders are range-partitioned by whole paths, so that a dense region
+   spreads over tasks; rows at the cuts meet in the second pass too.
 3. Candidates whose signatures agree enough (LOOSE) chain up to clusters. A cluster is more than a component: two
    documents can be in it that no order has brought together, and most of its pairs may be no links.
 4. Links: clusters are dealt to blocks of BLOCK classes, and each block's sets are intersected exactly. A few classes
@@ -39,8 +41,14 @@ from tidemark.llm.components import components, forest
 
 TREES = 16
 DEPTH = 8
-#: Rows before a row, in each order, that are its candidates.
+#: Rows before a row, in each order, that are its candidates from a prefix of one hash on.
 NEIGHBOURS = 4
+#: Hashes that the rows of a region share. A pair at 0.8 shares them in none of the trees with a probability of 1e-5.
+REGION = 3
+#: Rows before a row that are its candidates within a region; longer regions get a second pass.
+WINDOW = 64
+#: Rows of a region's block in that pass.
+REGION_ROWS = 2048
 #: Estimated similarity of a candidate that joins a cluster, as far below the threshold as 4 standard errors and more.
 LOOSE_BELOW = 0.17
 #: Classes of a block.
@@ -151,27 +159,45 @@ def entries(classes: DataFrame) -> DataFrame:
     return classes.mapInArrow(run, _ENTRY)
 
 
+def _runs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The paths of ordered rows as numbers, and each row's region, counted from 0."""
+    n = rows.num_rows
+    paths = np.frombuffer(b"".join(rows["path"].to_pylist()), ">u4").reshape(n, -1)
+    tree = rows["tree"].to_numpy()
+    new = (tree[1:] != tree[:-1]) | (paths[1:, :REGION] != paths[:-1, :REGION]).any(axis=1)
+    return paths, np.concatenate([np.zeros(min(n, 1), np.int64), np.cumsum(new)])
+
+
+def _close(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which of these small signatures, row by row, look similar."""
+    differ = x ^ y
+    same = ((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1)
+    return (same / _HASHES - 1 / 16) * 16 / 15 >= percent / 100 - LOOSE_BELOW
+
+
 def _neighbour_pairs(rows: pa.Table, first: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidates among ordered rows: each row from `first` on with its predecessors."""
     n = rows.num_rows
     tree, ids, size = (rows[c].to_numpy() for c in ("tree", "doc_id", "n_shingles"))
-    root = np.array([p[:4] for p in rows["path"].to_pylist()], "S4") if n else np.zeros(0, "S4")
+    paths, run = _runs(rows)
+    root = paths[:, 0]
     small = np.frombuffer(b"".join(rows["small"].to_pylist()), np.uint8).reshape(n, _HASHES // 2)
-    least = percent / 100 - LOOSE_BELOW
-    a, b = [], []
-    for back in range(1, NEIGHBOURS + 1):
-        i = np.arange(max(first, back), n)
+    a, b, rest = [], [], np.arange(first, n)
+    for back in range(1, WINDOW + 1):
+        i = rest = rest[rest >= back]
+        if back > NEIGHBOURS:
+            i = rest = rest[run[rest] == run[rest - back]]
+        if not len(rest):
+            break
         j = i - back
         # a common prefix of one hash at least, and sizes that allow the similarity
         ok = (tree[i] == tree[j]) & (root[i] == root[j]) & (ids[i] != ids[j])
         ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
         i, j = i[ok], j[ok]
-        differ = small[i] ^ small[j]
-        same = ((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1)
-        close = (same / _HASHES - 1 / 16) * 16 / 15 >= least
+        close = _close(small[i], small[j], percent)
         a.append(np.maximum(ids[i[close]], ids[j[close]]))
         b.append(np.minimum(ids[i[close]], ids[j[close]]))
-    return np.concatenate(a), np.concatenate(b)
+    return (np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
 
 
 def _found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -179,29 +205,63 @@ def _found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *(pa.nulls(n, f.type) for f in list(_FOUND_SCHEMA)[2:])], schema=_FOUND_SCHEMA)
 
 
-def _cut_rows(rows: pa.Table, cut: int, tail: bool) -> pa.RecordBatch:
+def _cut_rows(rows: pa.Table, cut: int | None, tail: bool) -> pa.RecordBatch:
+    """Rows for the pass over cuts, or, without a cut, for that over regions."""
     n = rows.num_rows
     column = lambda c: rows[c].combine_chunks() if isinstance(rows[c], pa.ChunkedArray) else rows[c]
     return pa.RecordBatch.from_arrays([column("doc_id"), pa.nulls(n, pa.int64()), pa.array([cut] * n, pa.int64()), pa.array([tail] * n, pa.bool_()), column("tree"), column("path"), column("n_shingles"), column("small")], schema=_FOUND_SCHEMA)
 
 
-def candidate_pairs(classes: DataFrame, percent: int, tmp: Scratch) -> DataFrame:
-    """(a, b), a > b, of classes that are neighbours in some order and look similar."""
+class _Regions:
+    """Rows of the regions of an order that the window doesn't cover, or that a partition's ends may cut."""
+
+    def __init__(self):
+        self.held, self.sent, self.started = None, None, False
+
+    def add(self, rows: pa.Table) -> pa.Table:
+        """The rows to send of those so far; the last region is held until it ends or is long."""
+        rows = rows if self.held is None else pa.concat_tables([self.held, rows])
+        if not rows.num_rows:
+            return rows
+        _, run = _runs(rows)
+        keys = [(t, p[: 4 * REGION]) for t, p in zip(rows["tree"].take([0, rows.num_rows - 1]).to_pylist(), rows["path"].take([0, rows.num_rows - 1]).to_pylist(), strict=True)]
+        send = np.bincount(run) > WINDOW + 1
+        send[0] |= not self.started or keys[0] == self.sent
+        whole = len(send) > 1 or keys[0] == self.sent or send[-1] and np.sum(run == run[-1]) > WINDOW + 1
+        if not whole:  # the partition's first region, which is still short
+            self.held = rows
+            return rows.slice(0, 0)
+        self.started = True
+        last = len(send) - 1
+        self.sent = keys[1] if send[last] else None
+        self.held = None if send[last] else rows.filter(pa.array(run == last))
+        return rows.filter(pa.array(send[run]))
+
+    def end(self) -> pa.Table | None:
+        return self.held
+
+
+def candidate_pairs(classes: DataFrame, percent: int, tmp: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a, b), a > b, that join classes that are neighbours in some order and look similar; and the rows of long or cut regions."""
 
     def run(batches):
-        part, held, seen = TaskContext.get().partitionId(), None, 0
+        part, held, regions = TaskContext.get().partitionId(), None, _Regions()
         for batch in batches:
+            if not batch.num_rows:
+                continue
             rows = pa.Table.from_batches([batch])
             if held is None:
                 yield _cut_rows(rows.slice(0, NEIGHBOURS), part, False)
                 joined, first = rows, 0
             else:
                 joined, first = pa.concat_tables([held, rows]), held.num_rows
-            yield _found(*_neighbour_pairs(joined, first, percent))
-            held = joined.slice(max(0, joined.num_rows - NEIGHBOURS))
-            seen += rows.num_rows
+            yield _found(*forest(*_neighbour_pairs(joined, first, percent)))
+            held = joined.slice(max(0, joined.num_rows - WINDOW))
+            yield _cut_rows(regions.add(rows), None, False)
         if held is not None:
-            yield _cut_rows(held, part + 1, True)
+            yield _cut_rows(held.slice(max(0, held.num_rows - NEIGHBOURS)), part + 1, True)
+        if regions.end() is not None:
+            yield _cut_rows(regions.end(), None, False)
 
     def across(table: pa.Table) -> pa.Table:
         order = table.sort_by([("tail", "descending"), ("tree", "ascending"), ("path", "ascending"), ("a", "ascending")])
@@ -213,7 +273,44 @@ def candidate_pairs(classes: DataFrame, percent: int, tmp: Scratch) -> DataFrame
     found = tmp.written(ordered.mapInArrow(run, _FOUND), "forest")
     inside = found.filter(F.col("b").isNotNull()).select("a", "b")
     cuts = found.filter(F.col("cut").isNotNull()).groupBy("cut").applyInArrow(across, "a long, b long")
-    return inside.unionByName(cuts)
+    regions = found.filter(F.col("b").isNull() & F.col("cut").isNull())
+    return inside.unionByName(cuts), regions.select("tree", F.expr(f"substring(path, 1, {4 * REGION})").alias("path"), F.col("a").alias("doc_id"), "n_shingles", "small")
+
+
+def _region_block(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates of different clusters among the rows of a region, or of two of its blocks."""
+    table = table.sort_by("n_shingles")
+    ids, size, cluster = (table[c].to_numpy() for c in ("doc_id", "n_shingles", "cluster"))
+    part = table["part"].to_numpy()
+    crossing = len(np.unique(part)) > 1
+    small = np.frombuffer(b"".join(table["small"].to_pylist()), np.uint8).reshape(len(ids), _HASHES // 2)
+    end = np.searchsorted(percent * size, 100 * size, "right")
+    a, b = [], []
+    for i in range(len(ids)):
+        j = np.arange(i + 1, end[i])
+        j = j[(cluster[j] != cluster[i]) & (not crossing or part[j] != part[i])]
+        j = j[_close(small[j], small[i], percent)]
+        a.append(ids[j])
+        b.append(np.full(len(j), ids[i]))
+    return forest(np.concatenate(a), np.concatenate(b))
+
+
+def region_pairs(rows: DataFrame, cluster: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a > b, that join classes of different clusters so far that share a region and look similar; rows is a written table."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = _region_block(table, percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    region = ["tree", "path"]
+    rows = rows.join(cluster, F.col("doc_id") == F.col("node"), "left").select(*rows.columns, F.coalesce("label", "doc_id").alias("cluster"))
+    sizes = rows.groupBy(*region).agg(F.count("*").alias("rows"), F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    sizes = sizes.filter("low != high").select(*region, "rows")
+    rows = skew_join(rows, sizes, region, "rows", rows.count()).withColumn("parts", F.ceil(F.col("rows") / REGION_ROWS))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit("region"), "doc_id"), "parts").cast("long"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = rows.select(*region, F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "doc_id", "n_shingles", "small", "cluster")
+    return rows.groupBy(*region, "p", "q").applyInArrow(run, "a long, b long")
 
 
 # -- links -----------------------------------------------------------------------------------------------------------
@@ -268,7 +365,11 @@ def near_links(sets_of: Callable[[DataFrame], DataFrame], classes: DataFrame, pe
 
 def _near_links(sets_of: Callable[[DataFrame], DataFrame], classes: DataFrame, percent: int, tmp: Scratch, keep: Scratch) -> DataFrame:
     with Scratch(classes.sparkSession) as forest_tables:
-        cluster = components(candidate_pairs(classes, percent, forest_tables), "clusters", tmp)
+        near, regions = candidate_pairs(classes, percent, forest_tables)
+        cluster = components(near, "clusters", tmp)
+        more = forest_tables.written(region_pairs(regions, cluster, percent), "regions")
+        if not more.isEmpty():
+            cluster = components(cluster.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more), "clusters", tmp)
     members = cluster.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")).unionByName(cluster.select(F.col("label").alias("doc_id"), F.col("label").alias("cluster")).distinct())
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
     members = tmp.written(skew_join(members, sizes, ["cluster"], "size", members.count()), "members")
