@@ -149,6 +149,11 @@ def test_links_are_exact():
     assert len(some) == 4 and (_unpack(_pack(some)) == some).all()
 
 
+def test_shingles_of_a_long_text_are_counted_in_full():
+    n = 3_000_000  # at 40 bits about 4 of them would collide
+    assert len(shingle_hashes(" ".join(map(str, range(n))), 1)) == n
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(2000, 2300)] + [(rng.randrange(5000, 5200), rng.randrange(5000, 5200)) for _ in range(120)] + [(7, 7)]

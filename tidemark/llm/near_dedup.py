@@ -64,8 +64,6 @@ _ODD = _rng.integers(0, 2**63, _HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _rng.integers(0, 2**64, _HASHES, np.uint64)
 _M = np.uint64(0x9E3779B97F4A7C15)
 
-#: Bytes of a shingle's hash that are stored.
-_WIDTH = 5
 #: A-Z to lower case and white space to spaces, on UTF-8.
 _NORM = bytes(i + 32 if 65 <= i <= 90 else 32 if 9 <= i <= 13 else i for i in range(256))
 
@@ -80,7 +78,7 @@ class _Words(dict):
 
 
 def shingle_hashes(text: str, words: int, known: dict[bytes, int] | None = None) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles, 40 bits each."""
+    """Sorted distinct hashes of a text's shingles, 64 bits each."""
     known = _Words() if known is None else known
     each = np.array([known[w] for w in text.encode("utf-8", "surrogatepass").translate(_NORM).split()], np.uint64)
     if not len(each):
@@ -90,7 +88,7 @@ def shingle_hashes(text: str, words: int, known: dict[bytes, int] | None = None)
     for k in range(n):
         h = (h ^ each[k : len(each) - n + 1 + k]) * _M
         h ^= h >> np.uint64(29)
-    return np.unique(h >> np.uint64(64 - 8 * _WIDTH))
+    return np.unique(h)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -105,13 +103,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _pack(shingles: np.ndarray) -> bytes:
-    return shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_WIDTH].tobytes()
+    return shingles.astype("<u8").tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // _WIDTH, 8), np.uint8)
-    wide[:, :_WIDTH] = np.frombuffer(raw, np.uint8).reshape(-1, _WIDTH)
-    return wide.view("<u8").reshape(-1)
+    return np.frombuffer(raw, "<u8")
 
 
 def features(docs: DataFrame, words: int, id_col: str, text_col: str, sets: bool = False) -> DataFrame:
