@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -40,9 +41,9 @@ def brute_lines(rows, least):
     strip = " \t\x0b\x0c\r\n"
     key = lambda x: x.strip(strip).translate(LOWER)
     seen = {}
-    for i, (_, t) in enumerate(rows):
+    for i, t in rows:
         for x in (t or "").split("\n"):
-            seen.setdefault(key(x), set()).add(i)
+            seen.setdefault(key(x), set()).add((i, t or ""))
     gone = {k for k, v in seen.items() if k and len(v) >= least}
     out = []
     for i, t in rows:
@@ -65,6 +66,16 @@ def test_line_dedup_equals_brute_force(spark, odd_docs):
     assert line_dedup(odd_docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_long_documents_takes_linear_time(spark):
+    """Ten documents of the same 50,000 lines, of which all but one's own go."""
+    lines = "\n".join(f"line {i}" for i in range(50_000))
+    rows = [(i, f"{lines}\nown {i}") for i in range(10)]
+    start = time.monotonic()
+    found = line_dedup(spark.createDataFrame(rows, DOCS).repartition(5), min_docs=10).collect()
+    assert time.monotonic() - start < 60
+    assert sorted(map(tuple, found)) == [(i, f"own {i}", 50_001, 50_000) for i in range(10)]
+
+
 # -- near-duplicates -------------------------------------------------------------------------------------------------
 
 

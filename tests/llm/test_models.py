@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def test_scores_of_odd_rows(spark, odd_docs, no_docs):
 
 def test_three_classes():
     texts = ["red red blue", "tree leaf", "cat dog"] * 20
-    p = train(texts, [0, 1, 2] * 20, 3).scorer()(texts[:3])
+    p = train(texts, [0, 1, 2] * 20, 3).scorer()(pa.array(texts[:3]))[0]
     assert p.argmax(axis=1).tolist() == [0, 1, 2] and np.allclose(p.sum(axis=1), 1)
 
 

@@ -5,11 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import MATRIX_BYTES, BytePairEncoder, bpe_round_trip
+from tidemark.llm.bpe import WIDE, BytePairEncoder, bpe_round_trip
 from tidemark.llm.common import fresh_path
 from tidemark.llm.queries import op1_bpe, op10_token_files
 from tidemark.llm.token_files import BATCH_ROWS, SequenceFile, WordEncoder, read_token_files, write_token_files
@@ -36,21 +37,40 @@ def strings(n, most=50):
     return ["".join(rng.choice(LETTERS) for _ in range(rng.randrange(most))) for _ in range(n)]
 
 
+def encoded(coder, texts):
+    ids, starts = coder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+
+
 def test_encoder_equals_the_public_library(coder, public):
     rng = random.Random(7)
-    long = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (3000, MATRIX_BYTES + 500)]
-    texts = strings(2000) + long + ["a" * 9000, " " * 5000, "\n" * 300 + "x", "<|endoftext|>", ""]
-    found = coder.encode(texts)
-    assert found == [public.encode_ordinary(t) for t in texts]
-    assert [coder.decode(x).decode() for x in found] == texts
+    long = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (300, WIDE - 1, WIDE, WIDE + 1, 9000, 60_000)]
+    texts = strings(2000) + ["".join(rng.choice("ab cdé,.\n the s") for _ in range(rng.randrange(60))) for _ in range(2000)]
+    texts += long + ["a" * 9000, " " * 5000, "\n" * 300 + "x", "<|endoftext|>", "", "a b.\nC d, e", "x\n", "\nx", "It's 's don't,", "é" * 3000 + "."]
+    assert encoded(coder, texts) == [public.encode_ordinary(t) for t in texts]
+    ids, starts = coder.encode(pa.array(texts))
+    assert coder.decode(ids, starts).to_pylist() == [t.encode() for t in texts]
+    assert encoded(coder, []) == [] and encoded(coder, [""]) == [[]] and encoded(coder, ["a b"]) == [public.encode_ordinary("a b")]
 
 
 def test_long_pieces_merge_alike(coder):
     rng = random.Random(8)
-    for _ in range(40):
-        piece = "".join(rng.choice("abctheionr") for _ in range(rng.randrange(3, 200))).encode()
-        if piece not in coder.ranks:
-            assert coder._merge_long(piece) == list(coder.merge([piece])[0])
+    pieces = ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 400))).encode() for letters in ("abctheionr", "ab", "a", "the") for _ in range(60)]
+    pieces = [p for p in pieces if p not in coder.ranks]
+    flat, sizes = coder.merge(pieces)
+    assert np.split(flat, np.cumsum(sizes)[:-1])[3].tolist() == coder._merge_long(pieces[3]).tolist()
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [coder._merge_long(p).tolist() for p in pieces]
+
+
+def test_the_memo_starts_anew_without_a_change(coder, public):
+    small = BytePairEncoder(RANKS, public_tokenizers.PATTERN)
+    small.pieces.limit = 2000
+    held = []
+    for k in range(3):
+        texts = [f"{t} w{k}x" for t in strings(100)]
+        assert encoded(small, texts) == [public.encode_ordinary(t) for t in texts]
+        held.append(small.pieces.bytes)
+    assert max(held) < 1.1 * held[0]
 
 
 def test_bpe_query_and_odd_rows(spark, public, odd_docs, no_docs):
@@ -68,7 +88,7 @@ def test_bpe_query_and_odd_rows(spark, public, odd_docs, no_docs):
 def test_word_encoder_equals_the_public_library():
     whole, own = Tokenizer.from_file(WORDS), WordEncoder(WORDS)
     texts = strings(2000) + [f"{a}{b}{c}" for a in ("", "x ", "é") for b in ("<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>") for c in ("", ".", ", a")] + ["İ, A.", "don't. I'LL,", "Σς. ", ""]
-    assert [x.tolist() for x in own.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoded(own, texts) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def brute(rows):

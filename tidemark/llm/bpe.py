@@ -5,15 +5,18 @@ are bucketed by length into padded matrices of token ids, and in every round eac
 least rank. Pair ranks come from a hash table in numpy arrays; after a round only the two pairs beside the merge are
 looked up again, the column that a merge frees is closed, and rows without a mergeable pair leave the matrix.
 
+A round costs a row's length, so a piece of n bytes would cost n * n. A row of over WIDE columns therefore is a
+matrix of its own, in which a round takes all places of the least rank, from left to right, after a check that this
+is what single merges would do (see _merge_long).
+
 Defined results: a null text counts as empty and has no tokens; identifiers, null or repeated, pass through, a row
-for each row. Texts of any length are encoded whole; a worker handles about CHUNK_CHARS characters at a time. Other
+for each row. Texts of any length are encoded whole; a worker handles about CHUNK_BYTES of text at a time. Other
 columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,18 +28,22 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, numbered, release, runs
+
 #: Bytes of text encoded at a time.
-CHUNK_CHARS = 4_000_000
-#: Matches and words remembered by a worker before it starts anew.
-CACHE_ENTRIES = 1_000_000
-#: Longer matches are merged one by one with a heap, as a round costs time in proportion to the row.
-MATRIX_BYTES = 8192
+CHUNK_BYTES = 8_000_000
 #: Cells of one matrix.
-MATRIX_CELLS = 4_000_000
+MATRIX_CELLS = 1_000_000
+#: Columns from which a row is a matrix of its own.
+WIDE = 1024
 
 _NONE = np.int32(2**31 - 1)
 _SCHEMA = "doc_id long, ids array<int>, decoded binary"
 
+#: White space other than single spaces and line ends between visible characters.
+_ODD_SPACE = r"^[ \n]|[ \n][ \n]|[ \n]$|[\t\x{0b}\x{0c}\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
+
 
 class PairTable:
     """Rank of a pair of ids by open addressing: two arrays, multiplicative hashing, linear probing."""
@@ -86,9 +93,10 @@ class BytePairEncoder:
         with open(path, "rb") as f:
             pairs = [line.split() for line in f if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.vocab = [b""] * (max(self.ranks.values()) + 1)
+        vocab = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
-            self.vocab[rank] = token
+            vocab[rank] = token
+        self.vocab = pa.array(vocab, pa.large_binary())
         self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         splits = [
@@ -98,53 +106,78 @@ class BytePairEncoder:
             if token[:k] in self.ranks and token[k:] in self.ranks
         ]
         self.pairs = PairTable(*np.array(splits, np.int64).reshape(-1, 3).T)
-        self.forget()
-
-    def forget(self) -> None:
-        self.words: dict[str, tuple[int, ...] | None] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = Memo(self._make, np.int32)
 
     # -- merging -------------------------------------------------------------------------------------------------
 
-    def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each piece. A piece that is a token is that token, as in the public library."""
-        out: list[tuple[int, ...]] = [()] * len(pieces)
+    def _make(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.merge([p.encode() for p in pieces])
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after the other, and how many each has. A piece that is a token is that token."""
+        ids: list[np.ndarray] = []
+        sizes = np.zeros(len(pieces), np.int64)
+        at: list[np.ndarray] = []  # the piece that each array of `ids` belongs to, id by id
         by_length: dict[int, list[int]] = {}
+        whole, known = [], []
         for i, piece in enumerate(pieces):
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                out[i] = (whole,)
-            elif len(piece) > MATRIX_BYTES:
-                out[i] = tuple(self._merge_long(piece))
+            rank = self.ranks.get(piece)
+            if rank is not None:
+                whole.append(i)
+                known.append(rank)
+            elif len(piece) > WIDE:
+                ids.append(self._merge_long(piece))
+                at.append(np.full(len(ids[-1]), i))
             elif piece:
-                # a bucket's rows differ in length by a quarter at most
-                step = max(1, 1 << max(0, len(piece).bit_length() - 3))
-                by_length.setdefault(-(-len(piece) // step) * step, []).append(i)
+                # a bucket's rows differ in length by an eighth at most
+                n = len(piece)
+                step = 1 << max(0, n.bit_length() - 4)
+                by_length.setdefault(-(-n // step) * step, []).append(i)
+        ids.append(np.array(known, np.int32))
+        at.append(np.array(whole, np.int64))
         for width, rows in by_length.items():
             most = max(1, MATRIX_CELLS // width)
             for k in range(0, len(rows), most):
                 part = rows[k : k + most]
-                for i, ids in zip(part, self._merge_matrix([pieces[i] for i in part], width), strict=True):
-                    out[i] = ids
-        return out
-
-    def _merge_matrix(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
+                found, row = self._merge_matrix([pieces[i] for i in part], width)
+                ids.append(found)
+                at.append(np.array(part, np.int64)[row])
+        flat, owner = np.concatenate(ids), np.concatenate(at)
+        order = np.argsort(owner, kind="stable")
+        sizes += np.bincount(owner, minlength=len(pieces))
+        return flat[order], sizes
+
+    def _first(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the bytes, -1 beyond a piece's end, and the ranks of neighbours."""
         size = np.array([len(p) for p in pieces])
         raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
         inside = np.arange(width) < size[:, None]
-        ids = np.where(inside, self.byte_ids[raw], -1)
+        ids = np.where(inside, self.byte_ids[raw], np.int32(-1))
         ranks = np.full((len(pieces), width - 1), _NONE, np.int32)
         pair = inside[:, 1:]
         ranks[pair] = self.pairs.get(ids[:, :-1][pair], ids[:, 1:][pair])
-        rows, out = np.arange(len(pieces)), [()] * len(pieces)
+        return ids, ranks
+
+    def _merge_matrix(self, pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, and the piece of each id."""
+        ids, ranks = self._first(pieces, width)
+        rows, out, owner = np.arange(len(pieces)), [], []
+
+        def leave(lines: np.ndarray, names: np.ndarray) -> None:
+            there = lines >= 0
+            out.append(lines[there])
+            owner.append(np.repeat(names, there.sum(axis=1)))
+
         while len(rows):
             n, w = ids.shape
-            at = ranks.argmin(axis=1) if w > 1 else np.zeros(n, np.int64)  # the leftmost of equal ranks
-            best = ranks[np.arange(n), at] if w > 1 else np.full(n, _NONE)
+            if w == 1:
+                leave(ids, rows)
+                break
+            at = ranks.argmin(axis=1)  # the leftmost of equal ranks
+            best = ranks[np.arange(n), at]
             done = best == _NONE
             if done.any():
-                for row, line in zip(rows[done].tolist(), ids[done], strict=True):
-                    out[row] = tuple(line[line >= 0].tolist())
+                leave(ids[done], rows[done])
                 go = ~done
                 rows, ids, ranks, at, best = rows[go], ids[go], ranks[go], at[go], best[go]
                 n = len(rows)
@@ -152,12 +185,10 @@ class BytePairEncoder:
                     break
             every = np.arange(n)
             ids[every, at] = best
-            keep = np.ones((n, w), bool)
-            keep[every, at + 1] = False
-            ids = ids[keep].reshape(n, w - 1)
-            keep = np.ones((n, w - 1), bool)
-            keep[every, at] = False
-            ranks = ranks[keep].reshape(n, w - 2)
+            # close the freed column: everything behind it moves one to the left
+            behind = np.arange(w - 1) > at[:, None]
+            ids = np.where(behind, ids[:, 1:], ids[:, :-1])
+            ranks = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1]) if w > 2 else ranks[:, :0]
             for pos in (at - 1, at):  # the pairs that the merge has changed
                 ok = (pos >= 0) & (pos < w - 2)
                 r, p = every[ok], pos[ok]
@@ -166,70 +197,118 @@ class BytePairEncoder:
                 new = np.full(len(r), _NONE, np.int32)
                 new[there] = self.pairs.get(left[there], right[there])
                 ranks[r, p] = new
-        return out
+        return np.concatenate(out), np.concatenate(owner)
+
+    def _merge_long(self, piece: bytes) -> np.ndarray:
+        """The same merges in a matrix of one row, where a round takes every place of the least rank from left to right.
 
-    def _merge_long(self, piece: bytes) -> list[int]:
-        """The same merges for one very long piece: a heap of (rank, position) over a linked list."""
+        That is what as many rounds of one merge would do, unless a merge made a pair of a lower rank on the way, which
+        would go first. Such pairs are looked for, and where there is one the round takes the leftmost place alone.
+        """
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)]
         ranks = self.pairs.get(ids[:-1], ids[1:])
-        ids, n = ids.tolist(), len(piece)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i, r in enumerate(ranks.tolist()) if r != _NONE]
-        heapq.heapify(heap)
-        vocab, get = self.vocab, self.ranks.get
-
-        def push(i: int) -> None:
-            if i >= 0 and after[i] < n:
-                rank = get(vocab[ids[i]] + vocab[ids[after[i]]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i))
-
-        while heap:
-            rank, i = heapq.heappop(heap)
-            j = after[i] if ids[i] >= 0 else n
-            if j >= n or get(vocab[ids[i]] + vocab[ids[j]]) != rank:
-                continue  # one of the two has been merged meanwhile
-            ids[i], ids[j] = rank, -1
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            push(before[i])
-            push(i)
-        return [x for x in ids if x >= 0]
+        while len(ranks):
+            least = ranks.min()
+            if least == _NONE:
+                break
+            at = np.flatnonzero(ranks == least)
+            # places one behind the other share an id: of a run of them every other one merges
+            run = at - np.arange(len(at))
+            at = at[(np.arange(len(at)) - np.searchsorted(run, run)) % 2 == 0]
+            right = ids[at[at + 2 < len(ids)] + 2]
+            if len(at) > 1 and (self.pairs.get(np.full(len(right), least), right) < least).any():
+                at = at[:1]
+            merged = self._merged_at(ids, ranks, at, least)
+            if len(at) > 1 and merged[1].min(initial=_NONE) < least:
+                merged = self._merged_at(ids, ranks, at[:1], least)
+            ids, ranks = merged
+        return ids
+
+    def _merged_at(self, ids: np.ndarray, ranks: np.ndarray, at: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and ranks of neighbours after the merges of the pairs at some places."""
+        stays = np.ones(len(ids), bool)
+        stays[at + 1] = False
+        ids = ids[stays]
+        ranks = ranks[stays[1:]]
+        now = at - np.arange(len(at))
+        ids[now] = rank
+        changed = np.concatenate([now[now > 0] - 1, now[now < len(ids) - 1]])
+        ranks[changed] = self.pairs.get(ids[changed], ids[changed + 1])
+        return ids, ranks
 
     # -- texts ---------------------------------------------------------------------------------------------------
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text.
-
-        No match reaches over a space that follows a visible character, except by starting with it. So a text is
-        first cut there, and a worker remembers the ids of every word so cut.
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's begin (and the last one's end)."""
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False) | (pc.binary_length(texts).to_numpy(zero_copy_only=False) == 0)
+        if not odd.any():
+            return self._joined(*self._plain_units(texts))
+        if odd.all():
+            return self._joined(*self._odd_units(texts))
+        parts = [self._joined(*units(texts.filter(pa.array(mask)))) for units, mask in ((self._plain_units, ~odd), (self._odd_units, odd))]
+        # back in the order of the texts
+        flat, first, size = (np.concatenate(x) for x in ([p[0] for p in parts], [parts[0][1][:-1], parts[1][1][:-1] + len(parts[0][0])], [np.diff(p[1]) for p in parts]))
+        order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+        return flat[runs(first[order], size[order])], np.concatenate([[0], np.cumsum(size[order])])
+
+    def _plain_units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Units of texts in which single spaces and line ends stand between visible characters.
+
+        No match reaches over a space that follows a visible character, except by starting with it, nor over a line
+        end between visible characters, which is a match of its own. So such a text falls into units there.
         """
-        if len(self.words) + len(self.pieces) > CACHE_ENTRIES:
-            self.forget()
-        words = self.words
-        cut = [_cut(t) for t in texts]
-        new = dict.fromkeys(w for units in cut for w in units if w not in words)
-        found = {w: self.pattern.findall(w) for w in new}
-        pieces = [p for p in dict.fromkeys(p for ps in found.values() for p in ps) if p not in self.pieces]
-        self.pieces.update(zip(pieces, self.merge([p.encode() for p in pieces]), strict=True))
-        for w, ps in found.items():
-            words[w] = tuple(i for p in ps for i in self.pieces[p])
-        return [[i for w in units for i in words[w]] for units in cut]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.vocab.__getitem__, ids))
-
-
-_BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-
-
-def _cut(text: str) -> list[str]:
-    """Words with the space before them."""
-    if "  " in text or "\n " in text or "\t " in text or text[:1] == " " or not text.isascii() or "\r" in text or "\x0b" in text or "\x0c" in text:
-        return _BEFORE_SPACE.split(text) if text else []
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]] if first or rest else []
+        codes, starts, words = numbered(pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " "))
+        # a word has the space before it, unless it begins a text or a line
+        line_end = pc.index(words, pa.scalar("\n", words.type)).as_py()
+        spaced = np.ones(len(codes), bool)
+        spaced[starts[:-1]] = False
+        if line_end >= 0:
+            ends = codes == line_end
+            spaced[1:] &= ~ends[:-1]
+            spaced &= ~ends
+        numbers = codes.astype(np.int64) * 2 + spaced
+        used = np.zeros(2 * len(words), bool)
+        used[numbers] = True
+        some = np.flatnonzero(used)
+        chosen = words.take(pa.array(some >> 1))
+        lead = pc.if_else(pa.array((some & 1).astype(bool)), " ", "")
+        place = np.cumsum(used) - 1
+        return place[numbers], starts, pc.binary_join_element_wise(lead, chosen, "")
+
+    def _odd_units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        return numbered(pa.array([_BEFORE_SPACE.split(t) if t else [] for t in texts.to_pylist()], pa.list_(pa.string())))
+
+    def _joined(self, codes: np.ndarray, starts: np.ndarray, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        first, size, flat = self._unit_ids(units)
+        ends = np.concatenate([[0], np.cumsum(size[codes])])
+        return flat[runs(first[codes], size[codes])], ends[starts]
+
+    def _unit_ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and size of each unit's ids, and the ids. Letters are one match, with the space before them; a sign after them is another."""
+        bare = pc.utf8_ltrim(units, characters=" ")
+        one, two = (pc.match_substring_regex(bare, p).to_numpy(zero_copy_only=False) for p in (PLAIN, PLAIN_TAIL))
+        rest = np.flatnonzero(~one & ~two)
+        found = [self.pattern.findall(u) for u in units.take(pa.array(rest)).to_pylist()]
+        counts = np.where(two, 2, 1)
+        counts[rest] = [len(f) for f in found]
+        begin = np.cumsum(counts) - counts
+        tails = units.filter(pa.array(two))
+        pieces = pa.concat_arrays([units.filter(pa.array(one)), pc.utf8_rtrim(tails, characters=".,"), pc.utf8_slice_codeunits(tails, -1), pa.array([p for f in found for p in f], pa.string())])
+        where = np.concatenate([begin[one], begin[two], begin[two] + 1, runs(begin[rest], counts[rest])])
+        named = pieces.dictionary_encode()
+        first, size = self.pieces.find(named.dictionary)
+        order = np.empty(len(where), np.int64)
+        order[where] = named.indices.to_numpy(zero_copy_only=False)
+        flat = self.pieces.flat[runs(first[order], size[order])]
+        ends = np.concatenate([[0], np.cumsum(size[order])])
+        start = ends[begin]
+        return start, ends[begin + counts] - start, flat
+
+    def decode(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+        """The bytes of each run of ids between two starts."""
+        found = self.vocab.take(pa.array(ids))
+        ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends[starts])), found.buffers()[2]]).cast(pa.binary())
 
 
 @lru_cache(maxsize=4)
@@ -238,7 +317,7 @@ def encoder(path: str, pattern: str) -> BytePairEncoder:
     return BytePairEncoder(path, pattern)
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with about `most` bytes of text each, or one row."""
     size = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
@@ -249,18 +328,20 @@ def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_CHARS)
         start = end
 
 
-def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids of the whole text, and the bytes that the ids decode to."""
+def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", check: bool = False) -> DataFrame:
+    """doc_id, ids of the whole text, and the bytes that the ids decode to; with check, a text that these are not is an error."""
 
     def run(batches):
         coder = encoder(rank_file, pattern)
         for batch in batches:
             for part in chunks(batch):
-                ids = coder.encode(part["text"].to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array([coder.decode(x) for x in ids], pa.binary())],
-                    ["doc_id", "ids", "decoded"],
-                )
+                ids, starts = coder.encode(part["text"])
+                decoded = coder.decode(ids, starts)
+                if check and not decoded.equals(part["text"].cast(pa.binary())):
+                    raise ValueError("ids don't decode to the text that they are of")
+                listed = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], listed, decoded], ["doc_id", "ids", "decoded"])
+            release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, _SCHEMA)
 

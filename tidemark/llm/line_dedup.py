@@ -1,16 +1,18 @@
 """Line deduplication with DataFrame functions only.
 
-Normalised lines are exploded once per document, hashed to 128 bits, and counted by the documents that hold them.
-Lines found in `min_docs` documents or more go, in every document; the others are put together again by position.
+Every line is exploded with its position, and its key is hashed to 128 bits. Keys that occur `min_docs` times or more
+are the only ones that can be in so many documents; for these, documents are counted. The lines that go are then
+(document, position), and a document is put together again, by position, of the lines that stay. All of this is
+linear in the lines of a document.
 
-Only hashes are shuffled to count. A very common line is one partial count per task on the way there, and on the way
-back it is joined by broadcast, as there are few such lines (see skew_join). Documents are joined with the hashes
-that they lose.
+Only hashes and positions are shuffled to count. A very common key is one partial count per task on the way there,
+and on the way back it is joined by broadcast (see skew_join). Documents meet their positions by a name of 128 bits
+of identifier and text; where many rows are alike in both, Spark's skew join splits them.
 
 Defined results: a null or empty text is one empty line. A key shorter than `min_key` code points is never counted
-and its line stays. A document is a row: the same doc_id on several rows counts for each of them. Rows of equal
-doc_id and text are treated alike. Null identifiers are kept. Other columns pass through, but for own ones
-named n_lines or n_dropped, which are replaced. An empty table gives an empty result.
+and its line stays. A document is an identifier with a text: rows that repeat both count once and are treated alike;
+the same identifier with another text counts again. Null identifiers are kept. Other columns pass through, but for own
+ones named n_lines or n_dropped, which are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,31 +31,32 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(_SPACE)), UPPER, LOWER)
 
 
-def _hash(line: Column) -> Column:
-    key = line_key(line)
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key).alias("h2"))
+def _named(row: list[str], values: list[Column], salt: str) -> list[Column]:
+    """128 bits of some values, as two columns."""
+    return [F.xxhash64(*values).alias(row[0]), F.xxhash64(F.lit(salt), *values).alias(row[1])]
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_key: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with its text replaced by the lines that stay, and the counts n_lines and n_dropped."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    row = [F.xxhash64(F.col(id_col), text).alias("r1"), F.xxhash64(F.lit("row"), F.col(id_col), text).alias("r2")]
-    all_lines = F.split(text, "\n", -1)
-    is_short = lambda x: F.char_length(F.btrim(x, F.lit(_SPACE))) < min_key
-    keys = F.array_distinct(F.transform(F.filter(all_lines, lambda x: ~is_short(x)), _hash))
-    lines = written(docs.select(*row, F.explode(keys).alias("h")).select("r1", "r2", "h.*"), "lines")
-    common = written(lines.groupBy("h1", "h2").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs), "common-lines")
-    gone = (
-        skew_join(lines, common, ["h1", "h2"], "docs", lines.count())
-        .groupBy("r1", "r2")
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
-    )
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    row, key = ["line_row_1", "line_row_2"], ["line_key_1", "line_key_2"]
+    name = _named(row, [F.col(f"`{id_col}`"), text], "row")
+    each = docs.select(*name, F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")).select(*row, "pos", line_key(F.col("line")).alias("key"))
+    lines = written(each.filter(F.char_length("key") >= min_key).select(*row, "pos", *_named(key, [F.col("key")], "line")), "lines")
+    often = written(lines.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs), "frequent-lines")
+    hits = written(skew_join(lines, often, key, "n", lines.count()).select(*row, "pos", *key), "line-hits")
+    # documents of a key: one row for each, then a partial count per task
+    common = hits.select(*row, *key).distinct().groupBy(*key).agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
+    sizes = hits.groupBy(*key).agg(F.count("*").alias("n"))
+    common = written(common.join(sizes, key).select(*key, "n"), "common-lines")
+    gone = skew_join(hits, common, key, "n", hits.count()).groupBy(*row).agg(F.collect_set("pos").alias("gone"))
     others = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(F.struct(*others).alias("doc"), all_lines.alias("lines"), *row).join(gone, ["r1", "r2"], "left")
-    stay = F.filter("lines", lambda x: is_short(x) | ~F.array_contains(F.col("gone"), _hash(x)))
-    kept = joined.select("doc", "lines", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(stay).alias("kept"))
-    return kept.select(
-        *(F.array_join("kept", "\n").alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in others),
+    rest = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others if c != text_col)).alias("doc")
+    joined = docs.select(rest, F.split(text, "\n", -1).alias("lines"), *name).join(gone, row, "left")
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    stay = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(places, lambda i: F.get(F.col("lines"), i)))
+    return joined.select(
+        *(F.array_join(stay, "\n").alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in others),
         F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
     )

@@ -2,28 +2,61 @@
 
 A classifier learned from a labelled table gives every document posteriors over domains. Document rates, not
 negative, are fitted so that the expected tokens of each domain, the sum over documents of rate * tokens * posterior,
-meet targets: least squares by projected gradient descent from rates of 1. A step needs one number per domain from
-all documents (a sum per partition first), and a document's rate after any number of steps follows from its
-posteriors and the steps' few numbers. So nothing but those numbers is kept between steps, and none of them grows
-with the input.
+meet targets: least squares by projected gradient descent from rates of 1. A step needs a few numbers per domain from
+all documents (sums per partition first), and a document's rate after any number of steps follows from its posteriors
+and the steps' numbers. So nothing but those is kept between steps, and none of them grows with the input.
 
-Residuals are weighted by the inverse of each domain's mass, and a document's step is taken relative to its tokens,
-which makes rates a function of posteriors alone: long and short documents of one domain are treated alike.
+Residuals are weighed by the inverse of the domains' second moments, over the documents whose rates can still move:
+without a document at the bound, one step would meet the targets. Where such a step would miss by more than before, it
+is taken back, and the moments over all documents are used, with which the error can't grow. A document's step is taken
+relative to its tokens, which makes rates a function of posteriors alone: long and short documents of one domain are
+treated alike.
+
+Domains that the posteriors don't tell apart (a share below APART of the moments' largest eigenvalue) aren't pulled
+apart, since that would take rates as extreme as the difference is small. What is missed is part of the result, and a
+warning is given where it is over the tolerance.
+
+Tokens are what n_tokens counts: words between white space, where with_posteriors has made the rows.
 
 Defined results: a null or blank text has no tokens and the labels' share as posteriors; it gets a rate like any other.
-A domain without any mass can't be reached and is left out. Rows are kept apart, also repeated ones and those without
-an identifier. Columns of any names pass through in a struct. An empty table gives an empty result.
+A domain without any mass can't be reached and is left out. Rows are kept apart, also repeated ones; those without an
+identifier are rounded by the key that copies() is given. Columns of any names pass through in a struct. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Steps at most, and the relative error of every domain's tokens at which they end.
-STEPS = 60
+#: The relative error of every domain's tokens at which steps end, the steps at most, and the share of its error that a step must gain.
 TOLERANCE = 1e-3
+STEPS = 60
+GAIN = 1e-3
+#: Least share of the largest eigenvalue for a difference between domains that rates follow.
+APART = 1e-4
+
+
+@dataclass(frozen=True)
+class Fit:
+    """The rate of a row as an expression over its posterior, and expected tokens of each domain at these rates."""
+
+    rate: Column
+    have: np.ndarray
+    wanted: np.ndarray
+    steps: int
+
+    @property
+    def met(self) -> bool:
+        return bool((np.abs(self.have - self.wanted) <= _allowed(self.wanted)).all())
+
+
+def _allowed(wanted: np.ndarray) -> np.ndarray:
+    return TOLERANCE * np.maximum(wanted, TOLERANCE * wanted.sum())
 
 
 def domain_tokens(rows: DataFrame, classes: int) -> np.ndarray:
@@ -38,13 +71,12 @@ def targets(weights: list[float], totals: np.ndarray, whole: int | None = None)
     return share * (totals.sum() if whole is None else totals[whole] / share[whole])
 
 
-def _rate(steps: list[np.ndarray], most: float | None, back: float) -> Column:
-    """A document's rate after the steps, each of which also brings it back towards 1 by the share `back`."""
+def _rate(steps: list[np.ndarray], most: float | None) -> Column:
+    """A document's rate after the steps."""
     p = F.col("posterior")
 
     def step(rate: Column, c: Column) -> Column:
-        moved = rate - F.aggregate(F.zip_with(p, c, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-        moved = F.greatest(moved - back * (rate - 1.0), F.lit(0.0))
+        moved = F.greatest(rate - F.aggregate(F.zip_with(p, c, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
         return moved if most is None else F.least(moved, F.lit(most))
 
     if not steps:
@@ -52,34 +84,52 @@ def _rate(steps: list[np.ndarray], most: float | None, back: float) -> Column:
     return F.aggregate(F.array(*(F.array(*(F.lit(float(v)) for v in c)) for c in steps)), F.lit(1.0), step)
 
 
-def fit_rates(rows: DataFrame, wanted: np.ndarray, most: float | None = None, hold: float = 0.0) -> Column:
-    """The rate of each row as an expression over its posterior; rows should be a written table, as each step reads it.
+def _solved(moments: np.ndarray, own: np.ndarray, miss: np.ndarray) -> np.ndarray:
+    """The step for a miss, by the inverse of the moments as far as domains are apart in them."""
+    root = np.where(own > 0, 1 / np.sqrt(np.maximum(own, 1e-300)), 0.0)
+    values, vectors = np.linalg.eigh(root[:, None] * moments * root)
+    keep = values > APART * max(values.max(initial=0), 1e-300)
+    inverse = (vectors[:, keep] / values[keep]) @ vectors[:, keep].T
+    return root * (inverse @ (root * miss))
+
 
-    hold is the weight of rates' squared distance from 1, by tokens, against the domains' squared relative errors. At 0
-    the targets are met where rates can meet them, which takes extreme rates where posteriors hardly differ; above 0
-    rates leave 1 only as far as posteriors tell documents apart.
-    """
+def fit_rates(rows: DataFrame, wanted: np.ndarray, most: float | None = None) -> Fit:
+    """Rates for rows (n_tokens, posterior) that meet the wanted tokens; rows should be a written table, as each step reads it."""
     k = len(wanted)
-    n, p = F.col("n_tokens"), F.col("posterior")
-    sums = rows.agg(*(F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k))).first()
-    curve = np.array([x or 0.0 for x in sums]).reshape(k, k)
-    own = curve.sum(axis=1)  # posteriors sum to 1, so this is each domain's mass
-    weight = np.where(own > 0, 1 / np.maximum(own, 1e-300), 0.0)
-    root = np.sqrt(weight)
-    largest = np.linalg.eigvalsh(root[:, None] * curve * root).max(initial=0) + hold
+    n, p, r = F.col("n_tokens"), F.col("posterior"), F.col("rate")
+
+    def measured(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens, and second moments over the rows whose rates are within the bounds."""
+        inside = r > 0 if most is None else (r > 0) & (r < most)
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        sums = [F.sum(r * n * p[i]) for i in range(k)] + [F.sum(F.when(inside, n * p[i] * p[j])) for i, j in pairs]
+        found = [x or 0.0 for x in rows.select(_rate(steps, most).alias("rate"), "n_tokens", "posterior").agg(*sums).first()]
+        moments = np.zeros((k, k))
+        for (i, j), x in zip(pairs, found[k:], strict=True):
+            moments[i, j] = moments[j, i] = x
+        return np.array(found[:k]), moments
+
     steps: list[np.ndarray] = []
-    before = np.full(k, np.inf)
-    while len(steps) < STEPS and largest > hold:
-        rate = _rate(steps, most, hold / largest)
-        have = rows.select(rate.alias("rate"), "n_tokens", "posterior").agg(*(F.sum(F.col("rate") * n * p[i]) for i in range(k))).first()
-        miss = np.array([x or 0.0 for x in have]) - wanted
-        allowed = TOLERANCE * np.maximum(wanted, TOLERANCE * wanted.sum())
-        settled = np.abs(miss if not hold else miss - before)
-        if (settled[own > 0] <= (allowed if not hold else allowed / 10)[own > 0]).all():
+    have, moments = measured(steps)
+    own, whole = have, moments
+    error = lambda have: float(np.sqrt((((have - wanted) ** 2)[own > 0] / own[own > 0]).sum()))
+    tried = 0
+    while tried < STEPS and own.any() and (np.abs(have - wanted) > _allowed(wanted))[own > 0].any():
+        before = error(have)
+        for metric in (moments, whole):
+            step = _solved(metric, own, have - wanted)
+            then, inner = measured([*steps, step])
+            tried += 1
+            if error(then) < before:
+                break
+        if error(then) > before * (1 - GAIN):
             break
-        before = miss
-        steps.append(weight * miss / largest)
-    return _rate(steps, most, hold / largest if largest else 0.0)
+        steps.append(step)
+        have, moments = then, inner
+    fit = Fit(_rate(steps, most), have, wanted, len(steps))
+    if own.any() and not fit.met:
+        warnings.warn(f"mixing: rates give {have.tolist()} tokens where {wanted.tolist()} are wanted", stacklevel=2)
+    return fit
 
 
 def copies(rate: Column, key: Column, seed: int = 0) -> Column:

@@ -30,6 +30,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import chunks
 from tidemark.llm.common import Scratch, skew_join, written
 from tidemark.llm.components import components, forest
+from tidemark.llm.words import release, words_of
 
 TREES = 16
 DEPTH = 8
@@ -55,50 +57,63 @@ LOOSE_BELOW = 0.17
 BLOCK = 64
 #: Classes of a cluster that all of its blocks hold, on average.
 PIVOTS = 8
-#: Words remembered by a worker before it starts anew.
-CACHE_WORDS = 1_500_000
+#: Bytes of text made into sets at a time.
+CHUNK_BYTES = 4_000_000
 
 _HASHES = TREES * DEPTH
 _rng = np.random.default_rng(20)
-_ODD = _rng.integers(0, 2**63, _HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = _rng.integers(0, 2**64, _HASHES, np.uint64)
+_ODD = _rng.integers(0, 2**31, _HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _rng.integers(0, 2**32, _HASHES, np.uint32)
 _M = np.uint64(0x9E3779B97F4A7C15)
 
-#: A-Z to lower case and white space to spaces, on UTF-8.
-_NORM = bytes(i + 32 if 65 <= i <= 90 else 32 if 9 <= i <= 13 else i for i in range(256))
-
 _SIGNED = "doc_id long, n_shingles long, key binary, sig binary"
 _SETS = "doc_id long, key binary, shingles binary"
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
+    """Of every text the sorted distinct hashes of its shingles, 64 bits each."""
+    codes, starts, distinct = words_of(pc.ascii_lower(texts))
+    each = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()], np.uint64)[codes]
+    long = np.zeros(len(each), np.uint64)  # at the place of its first word, each shingle of so many words
+    if len(each) >= words:
+        long = _folded([each[k : len(each) - words + 1 + k] for k in range(words)])
+    out = []
+    for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if end - start >= words:
+            out.append(_distinct(long[start : end - words + 1]))
+        else:
+            out.append(_folded([each[k : k + 1] for k in range(start, end)]) if end > start else each[:0])
+    return out
 
 
-def shingle_hashes(text: str, words: int, known: dict[bytes, int] | None = None) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles, 64 bits each."""
-    known = _Words() if known is None else known
-    each = np.array([known[w] for w in text.encode("utf-8", "surrogatepass").translate(_NORM).split()], np.uint64)
-    if not len(each):
-        return each
-    n = min(words, len(each))
-    h = np.full(len(each) - n + 1, np.uint64(n))
-    for k in range(n):
-        h = (h ^ each[k : len(each) - n + 1 + k]) * _M
+def _folded(parts: list[np.ndarray]) -> np.ndarray:
+    """Hashes of rows of hashes, in their order."""
+    h = np.full(len(parts[0]), np.uint64(len(parts)))
+    for part in parts:
+        h = (h ^ part) * _M
         h ^= h >> np.uint64(29)
-    return np.unique(h)
+    return h
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    return shingle_sets(pa.array([text], pa.string()), words)[0]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """Minimum of each hash function over the shingles."""
     out = np.full(_HASHES, 2**32 - 1, np.uint32)
-    for k in range(0, len(shingles), 8192):
-        x = shingles[k : k + 8192] * _M
-        for i in range(0, _HASHES, 16):
-            h = ((x[:, None] ^ _XOR[i : i + 16]) * _ODD[i : i + 16]) >> np.uint64(32)
-            out[i : i + 16] = np.minimum(out[i : i + 16], h.min(axis=0).astype(np.uint32))
+    for k in range(0, len(shingles), 4096):
+        x = (shingles[k : k + 4096] >> np.uint64(32)).astype(np.uint32)[:, None]
+        for i in range(0, _HASHES, 32):
+            out[i : i + 32] = np.minimum(out[i : i + 32], ((x ^ _XOR[i : i + 32]) * _ODD[i : i + 32]).min(axis=0))
     return out
 
 
@@ -114,12 +129,9 @@ def features(docs: DataFrame, words: int, id_col: str, text_col: str, sets: bool
     """Number of shingles, a key of the set, and the signature of every row; or, with sets, the key and the set itself."""
 
     def run(batches):
-        known = _Words()
         for batch in batches:
-            for part in chunks(batch):
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                found = [shingle_hashes(t, words, known) for t in part["text"].to_pylist()]
+            for part in chunks(batch, most=CHUNK_BYTES):
+                found = shingle_sets(part["text"], words)
                 packed = [_pack(s) for s in found]
                 keys = pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in packed], pa.binary())
                 if sets:

@@ -7,30 +7,38 @@ few words stays near the labels' share. A softmax over that average gives the la
 the driver with numpy stochastic gradient descent over a bounded sample of labelled documents (SAMPLE_DOCS, those
 with the smallest hashes of their identifiers); every document is scored whole.
 
+Beside the plain method: the pairs of words are added features, the step of a document's vectors is taken relative to
+the largest share in its average (else long documents would hardly move theirs), and the biases stay at the labels'
+shares, so that a text without features has just these.
+
 As the output is linear in the average, a feature's vector acts on a score only through its product with the output
-weights: executors get that one number per feature, and remember the sum for each word they have met.
+weights: executors get that one number per feature, and remember the sum for each word they have met, up to a number
+of bytes (words.MEMO_BYTES). Words are what ASCII white space separates.
 
 Defined results: a null text counts as empty. A text without words has the score of the labels' share (0.5 without
-any label). Where labels repeat an identifier, the smallest label counts. Null labels and labels of absent documents
+any label). Where labels repeat an identifier, the smallest label counts; where documents do, the least text is
+learned from. Null labels and labels of absent documents
 are ignored. Identifiers, null or repeated, pass through, a row for each row; other columns are ignored. Empty tables
 give empty results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.llm.bpe import chunks
 from tidemark.llm.common import smallest_hashes
+from tidemark.llm.words import Memo, release, run_sums, words_of
 
-#: Labelled documents to learn from, at most.
+#: Labelled documents to learn from, at most, and bytes of their texts, at most.
 SAMPLE_DOCS = 4000
+SAMPLE_BYTES = 64 << 20
 #: Hash buckets of features, and length of their vectors.
 BUCKETS = 1 << 17
 DIM = 16
@@ -41,33 +49,31 @@ PRIOR = 40
 EPOCHS = 5
 RATE = 2.0
 SEED = 7
-#: Words remembered by a worker before it starts anew.
-CACHE_WORDS = 800_000
 #: Bytes of text scored at a time.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 4_000_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h ^ (h >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(29))) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of the words, one after the other; the number of features of each; and a hash of each word."""
     hashes = np.zeros(len(words), np.uint64)
-    counts = np.array([1 + sum(max(0, len(w) + 3 - n) for n in NGRAMS) for w in words], np.int64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    counts = 1 + sum(np.maximum(lengths + 3 - n, 0) for n in NGRAMS)
     ends = np.cumsum(counts)
     out = np.zeros(int(ends[-1]) if len(words) else 0, np.int64)
-    by_length: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        by_length.setdefault(len(w), []).append(i)
-    for length, rows in by_length.items():
+    order = np.argsort(lengths, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(words) else []:
+        length = int(lengths[rows[0]])
         width = length + 2
         for k in range(0, len(rows), max(1, 2_000_000 // width)):
             part = rows[k : k + max(1, 2_000_000 // width)]
-            raw = "".join(f"<{words[i]}>" for i in part).encode("utf-32-le", "surrogatepass")
+            raw = "".join([f"<{words[i]}>" for i in part]).encode("utf-32-le", "surrogatepass")
             codes = np.frombuffer(raw, np.uint32).reshape(-1, width).astype(np.uint64) + np.uint64(1)
             powers = np.cumprod(np.full(width, _M))
             whole = (codes * powers).sum(axis=1, dtype=np.uint64) + np.uint64(width)
@@ -98,31 +104,35 @@ class Model:
     bias: np.ndarray
 
     def scorer(self):
-        """Function from texts to posteriors (a column per class) that remembers words between calls."""
-        known: dict[str, int] = {}
-        none = [np.zeros((0, len(self.bias))), np.zeros(0), np.zeros(0, np.uint64)]  # of each word: sum of weights, features, hash
-        held = list(none)
-
-        def score(texts: list[str]) -> np.ndarray:
-            nonlocal held
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                held = list(none)
-            cut = [t.split() for t in texts]
-            new = list(dict.fromkeys(w for ws in cut for w in ws if w not in known))
-            if new:
-                features, counts, hashes = word_features(new)
-                sums = np.add.reduceat(self.weights[features].astype(np.float64), np.cumsum(counts) - counts, axis=0)
-                held = [np.concatenate(x) for x in zip(held, (sums, counts.astype(np.float64), hashes), strict=True)]
-                known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            z = np.tile(np.append(0.0, self.bias), (len(texts), 1))
-            for i, ws in enumerate(cut):
-                if ws:
-                    at = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-                    pairs = self.weights[pair_features(held[2][at])]
-                    z[i, 1:] += (held[0][at].sum(axis=0) + pairs.sum(axis=0, dtype=np.float64)) / (held[1][at].sum() + len(pairs) + PRIOR)
+        """Function from an array of texts to posteriors (a column per class) and word counts; it remembers words between calls."""
+        width = len(self.bias) + 2  # of a word: the sum of its weights for each further class, its features, its hash
+
+        def make(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            features, counts, hashes = word_features(words)
+            held = np.empty((len(words), width), np.uint64)
+            held[:, :-2] = np.add.reduceat(self.weights[features].astype(np.float64), np.cumsum(counts) - counts, axis=0).view(np.uint64)
+            held[:, -2], held[:, -1] = counts, hashes
+            return held.reshape(-1), np.full(len(words), width)
+
+        memo = Memo(make, np.uint64)
+
+        def score(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            codes, starts, words = words_of(texts)
+            first, _ = memo.find(words)
+            held = memo.flat[first[:, None] + np.arange(width)]
+            sums, counts, hashes = held[:, :-2].copy().view(np.float64), held[:, -2].astype(np.float64), held[:, -1]
+            n = np.diff(starts)
+            values = sums[codes]
+            if len(codes) > 1:
+                pairs = self.weights[pair_features(hashes[codes])].astype(np.float64)
+                between = starts[1:-1][(starts[1:-1] > 0) & (starts[1:-1] < len(codes))]
+                pairs[between - 1] = 0  # a text's last word and the next one's first are no pair
+                values[:-1] += pairs
+            features = run_sums(counts[codes], starts) + np.maximum(n - 1, 0) + PRIOR
+            z = np.zeros((len(n), len(self.bias) + 1))
+            z[:, 1:] = self.bias + run_sums(values, starts) / features[:, None]
             p = np.exp(z - z.max(axis=1, keepdims=True))
-            return p / p.sum(axis=1, keepdims=True)
+            return p / p.sum(axis=1, keepdims=True), n
 
         return score
 
@@ -139,7 +149,8 @@ def train(texts: list[str], labels: list[int], classes: int = 2) -> Model:
     bias = np.log(share).astype(np.float32)  # fixed: a text without features has the share
     docs = []
     for text in texts:
-        features, _, hashes = word_features(text.split())
+        codes, _, words = words_of(pa.array([text], pa.string()))
+        features, _, hashes = word_features(words.take(pa.array(codes)).to_pylist())
         at, n = np.unique(np.concatenate([features, pair_features(hashes)]), return_counts=True)
         docs.append((at, (n / (n.sum() + PRIOR)).astype(np.float32)))
     steps, step = EPOCHS * len(docs), 0
@@ -168,40 +179,44 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, learn: Co
     known = known.filter(learn & F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
     picked = smallest_hashes(known.withColumn("h", F.xxhash64("doc_id")), "h", ["doc_id"], most).drop("h")  # a bounded number of rows: broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = rows.join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").limit(most).collect()
+    one = rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    # by rising identifier as many as SAMPLE_BYTES hold; what the driver gets first are sizes
+    sizes = sorted(one.select("doc_id", F.octet_length("text").alias("n")).collect())
+    fits = np.cumsum([r["n"] for r in sizes]) <= SAMPLE_BYTES
+    chosen = rows.sparkSession.createDataFrame([(r["doc_id"],) for r, ok in zip(sizes, fits, strict=True) if ok], "doc_id long")
+    found = sorted(one.join(F.broadcast(chosen), "doc_id", "left_semi").collect()) if fits.any() else []
     return [r["text"] for r in found], [r["label"] for r in found]
 
 
-def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the score of every whole text: the posterior of class 1."""
+def posteriors(model: Model, text: Column) -> Column:
+    """Struct of a text's words counted (n_tokens) and its posteriors. Only texts go to Python."""
 
-    def run(batches):
+    @F.arrow_udf("n_tokens long, posterior array<double>")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = model.scorer()
-        for batch in batches:
-            for part in chunks(batch, most=CHUNK_BYTES):
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(score(part["text"].to_pylist())[:, 1])], ["doc_id", "score"])
+        for batch in texts:
+            found, counts = [], []
+            for part in chunks(pa.RecordBatch.from_arrays([batch], ["text"]), most=CHUNK_BYTES):
+                p, n = score(part["text"])
+                found.append(p)
+                counts.append(n)
+            p = np.concatenate(found) if found else np.zeros((0, len(model.bias) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.reshape(-1)))
+            yield pa.StructArray.from_arrays([pa.array(np.concatenate(counts) if counts else [], pa.int64()), lists], ["n_tokens", "posterior"])
+            release()
+
+    return scored(F.coalesce(text, F.lit("")))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+
+def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and the score of every whole text: the posterior of class 1."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), posteriors(model, F.col(text_col)).alias("s"))
+    return rows.select("doc_id", F.col("s.posterior")[1].alias("score"))
 
 
 def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Every row of docs as a struct `doc`, with its words counted (n_tokens) and its posteriors."""
-    whole = docs.select(F.struct("*").alias("doc"))
-    kinds = T.StructType(list(whole.schema.fields)).add("n_tokens", T.LongType()).add("posterior", T.ArrayType(T.DoubleType()))
-
-    def run(batches):
-        score = model.scorer()
-        for batch in batches:
-            texts = pa.RecordBatch.from_arrays([batch["doc"].field(text_col).fill_null("")], ["text"])
-            at = 0
-            for part in chunks(texts, most=CHUNK_BYTES):
-                rows = part["text"].to_pylist()
-                counts = pa.array([len(t.split()) for t in rows], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch["doc"].slice(at, len(rows)), counts, pa.array(score(rows).tolist(), pa.list_(pa.float64()))], ["doc", "n_tokens", "posterior"])
-                at += len(rows)
-
-    return whole.mapInArrow(run, kinds)
+    return docs.select(F.struct("*").alias("doc"), posteriors(model, F.col(text_col)).alias("s")).select("doc", "s.n_tokens", "s.posterior")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

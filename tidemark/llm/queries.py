@@ -181,5 +181,5 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(*labelled_sample(docs, table(spark, sf_dir, "labels"), F.col("quality"), ~held_out()), classes=len(DOMAINS))
     rows = written(with_posteriors(docs.select("doc_id", "text"), model).select("doc.doc_id", "n_tokens", "posterior"), "posteriors")
-    rate = fit_rates(rows, targets(list(DOMAINS.values()), domain_tokens(rows, len(DOMAINS))))
+    rate = fit_rates(rows, targets(list(DOMAINS.values()), domain_tokens(rows, len(DOMAINS)))).rate
     return rows.select("doc_id", "n_tokens", *(F.col("posterior")[k].alias(f"p_{name}") for k, name in enumerate(DOMAINS)), rate.alias("rate"), copies(rate, F.col("doc_id")).alias("copies"))

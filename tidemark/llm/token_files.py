@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,10 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import chunks
 from tidemark.llm.files import attempt_name, resolve
+from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, release, runs, words_of
 
 #: Sequences of one record batch.
 BATCH_ROWS = 64
-#: Words remembered by a worker before it starts anew.
-CACHE_WORDS = 800_000
 #: New words that the tokenizer gets as one text, and what its tokens for the end of a word end in.
 JOINED_WORDS = 1000
 WORD_END = "</w>"
@@ -42,7 +42,7 @@ _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 
 
 class WordEncoder:
-    """The tokenizer of a file, with the ids of whole words remembered, packed as they are written.
+    """The tokenizer of a file, with the ids of words remembered.
 
     Only for tokenizers that drop white space and case and part letters from signs: a text's ids are then those of its
     words one after the other, and those of "Word," are those of "word" and of ",".
@@ -55,46 +55,50 @@ class WordEncoder:
         self.closes = np.zeros(size, bool)  # ids that close a word
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.closes[i] = token.endswith(WORD_END)
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        stems, cut = self.stems, [_stem(w) for w in words]
-        new = {part for pair in cut for part in pair}.difference(stems)
-        plain = [w for w in new if w.isalpha()]
-        other = list(new.difference(plain))
+        self.stems = Memo(self._make, self.dtype)
+
+    def _make(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found: list[np.ndarray] = []
+        sizes = np.zeros(len(stems), np.int64)
+        owner: list[np.ndarray] = []
+        plain = [i for i, w in enumerate(stems) if w.isalpha()]
+        other = [i for i, w in enumerate(stems) if not w.isalpha()]
         # words of letters alone go through the tokenizer as one text, in which each has one id that closes it
         for k in range(0, len(plain), JOINED_WORDS):
             part = plain[k : k + JOINED_WORDS]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
-            ends = ((np.flatnonzero(self.closes[ids]) + 1) * self.dtype.itemsize).tolist()
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([stems[i] for i in part])], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(part):  # a letter whose lower case is more than letters
                 other += part
                 continue
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(part, ends, strict=True):
-                stems[w] = raw[start:end]
-                start = end
-        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            stems[w] = np.array(e.ids, self.dtype).tobytes()
-        for w, (stem, tail) in zip(words, cut, strict=True):
-            self.words[w] = stems[stem] + stems[tail]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        for known in (self.words, self.stems):
-            if len(known) > CACHE_WORDS:
-                known.clear()
-        words = self.words
-        cut = [t.split(" ") for t in texts]
-        self._learn(list(set().union(*cut).difference(words)))
-        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), self.dtype) for ws in cut]
-
-
-def _stem(word: str) -> tuple[str, str]:
-    """A word as its letters in lower case and a closing full stop or comma, where it is so made; else itself."""
-    splits = word[-1:] in (".", ",") and word[-2:-1].isalnum() and len(word[-2].lower()) == 1
-    stem, tail = (word[:-1], word[-1]) if splits else (word, "")
-    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), tail
+            found.append(ids)
+            owner.append(np.repeat(part, np.diff(ends, prepend=0)))
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([stems[i] for i in other], add_special_tokens=False), strict=True):
+            found.append(np.array(e.ids, self.dtype))
+            owner.append(np.full(len(e.ids), i))
+        flat, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found, owner))
+        sizes += np.bincount(at, minlength=len(stems))
+        return flat[np.argsort(at, kind="stable")], sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's begin (and the last one's end)."""
+        codes, starts, words = words_of(texts)
+        one, two = (pc.match_substring_regex(words, p).to_numpy(zero_copy_only=False) for p in (PLAIN, PLAIN_TAIL))
+        rest = ~one & ~two
+        plain, tails = words.filter(pa.array(one)), words.filter(pa.array(two))
+        # a word is one stem or, with a sign behind letters, two
+        stems = pa.concat_arrays([pc.utf8_lower(plain), pc.utf8_lower(pc.utf8_rtrim(tails, characters=".,")), pc.utf8_slice_codeunits(tails, -1), words.filter(pa.array(rest))])
+        counts = np.where(two, 2, 1)
+        begin = np.cumsum(counts) - counts
+        order = np.empty(len(stems), np.int64)
+        named = stems.dictionary_encode()
+        order[np.concatenate([begin[one], begin[two], begin[two] + 1, begin[rest]])] = named.indices.to_numpy(zero_copy_only=False)
+        first, size = self.stems.find(named.dictionary)
+        flat = self.stems.flat[runs(first[order], size[order])]
+        ends = np.concatenate([[0], np.cumsum(size[order])])
+        first, size = ends[begin], ends[begin + counts] - ends[begin]
+        ends = np.concatenate([[0], np.cumsum(size[codes])])
+        return flat[runs(first[codes], size[codes])], ends[starts]
 
 
 @lru_cache(maxsize=4)
@@ -199,13 +203,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
                     sinks = [system.open_output_stream(resolve(p)[1]) for p in (tokens, tokens + ".docs")]
                     writer = SequenceWriter(sinks[0], length, coder.dtype)
                     index = pa.ipc.new_file(sinks[1], _DOCS)
-                encoded = coder.encode(rows["text"].to_pylist())
-                sizes = np.array([len(x) + 1 for x in encoded])
+                ids, ends = coder.encode(rows["text"])
+                sizes = np.diff(ends) + 1
                 starts = writer.total + np.cumsum(sizes) - sizes
-                for ids in encoded:
-                    writer.add(np.append(ids, coder.dtype.type(end_id)))
+                writer.add(np.insert(ids, ends[1:], end_id))
                 index.write_batch(pa.record_batch([rows["doc_id"], pa.array(starts), pa.array(sizes)], schema=_DOCS))
-                n_docs += len(encoded)
+                n_docs += len(sizes)
+            release()
         if writer is not None:
             writer.close()
             index.close()
