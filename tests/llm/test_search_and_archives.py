@@ -29,12 +29,14 @@ def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(9)
     rows = [(int(i), np.round(rng.normal(0, 0.2, 8), 2).tolist()) for i in range(700)]
     rows += [(i, rows[50][1]) for i in range(700, 720)]  # ties
-    rows += [(800, None), (850, []), (900, [0.1, None]), (950, [float("nan")] * 8), (1000, [float("inf")] * 8), (1050, [0.5, -0.5]), (None, [0.1] * 8), (1100, [3e38] * 8)]
+    rows += [(800, None), (850, []), (900, [0.1, None]), (950, [float("nan")] * 8), (1000, [float("inf")] * 8), (1050, [0.5, -0.5]), (None, [0.1] * 8), (1100, [1e7, 9e6, -9.5e6]), (1101, [1e7] * 8), (1102, [9.5e6] * 8)]
+    rows += [(1150, [0.0] * 7 + [1e11]), (1151, [0.0] * 7 + [1.1e11])]  # scores of over 2 ** 62
     df = spark.createDataFrame([(i, x, 0) for i, x in rows], VECTORS).repartition(4)
-    rows = [(i, x) for i, x in rows if i != 1100]
-    found = top_k(df.filter("vec_id IS NULL OR vec_id != 1100"), 5, 256, F.col("vec_id") % 50 == 0)
-    assert sorted(map(tuple, found.collect())) == brute_top(rows, 5, 256, 50)
-    assert top_k(df, 5, 256, F.col("vec_id") % 50 == 0).count() > 0
+    found = top_k(df, 5, 256, F.col("vec_id") % 50 == 0)
+    least, most = -(2**63), 2**63 - 1
+    assert sorted(map(tuple, found.collect())) == [(*r[:3], min(max(r[3], least), most)) for r in brute_top(rows, 5, 256, 50)]
+    huge = spark.createDataFrame([(0, [3e38], 0), (1, [3e38], 0), (2, [2e38], 0), (3, [-3e38], 0), (4, [1e7], 0)], VECTORS)
+    assert [r["vec_id"] for r in top_k(huge, 5, 256, F.col("vec_id") == 0).orderBy("rank").collect()] == [1, 2, 4, 3]
     assert top_k(df.limit(0), 5, 256, F.col("vec_id") % 50 == 0).count() == 0
     few = spark.createDataFrame([(0, [1.0], 0), (1, [2.0], 0)], VECTORS)
     assert [tuple(r) for r in top_k(few, 5, 1, F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1, 2)]

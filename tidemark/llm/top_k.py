@@ -12,11 +12,15 @@ are merged by window. Only blocks are replicated over the grid, never pairs of r
 Defined results: vectors that are null, or hold a null, NaN or infinite component, and rows with a null identifier
 take no part. A shorter vector counts as zero beyond its end. A query's own identifier is never its candidate, also
 where several rows have it; each row of a repeated query is one query, numbered apart inside and equal in the result.
-Components are held within 32 bits before scores are taken as 64-bit integers. An empty table gives an empty result.
+Components are 64-bit integers, held within 2 ** 56 either way, as their products would not fit in a long anyway; all
+scores are ordered exactly, and one beyond 64 bits is returned as the nearest bound. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,18 +39,19 @@ TILE_BLOCKS = 256
 TILE_QUERY_BLOCKS = 16
 
 _BLOCK = "tile long, ids binary, vectors binary"
-_INT = np.iinfo(np.int32)
-_HIT = "query_id long, query_row long, vec_id long, score long"
+#: Bound of a component, and bits of a score's lower part.
+_MOST = 1 << 56
+_LOW = 62
+_HIT = "query_id long, query_row long, vec_id long, high long, low long"
 
 
 def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
     """vec_id and floor(scale * x) of every component, for the rows that take part."""
     x = F.col("x")
     ok = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    whole = F.transform(x, lambda v: F.least(F.greatest(F.floor(v * float(scale)).cast("double"), F.lit(float(_INT.min))), F.lit(float(_INT.max))).cast("int"))
+    held = F.transform(x, lambda v: F.floor(F.least(F.greatest(v * float(scale), F.lit(-float(_MOST))), F.lit(float(_MOST)))).cast("long"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
-    clipped = F.transform(x, lambda v: F.least(F.greatest(v, F.lit(-1e15)), F.lit(1e15)))  # floor() of more wouldn't fit in 64 bits
-    return rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & ok).withColumn("x", clipped).select("vec_id", whole.alias("x"))
+    return rows.filter(F.col("vec_id").isNotNull() & x.isNotNull() & ok).select("vec_id", held.alias("x"))
 
 
 def _similar_order(x: np.ndarray) -> np.ndarray:
@@ -78,7 +83,7 @@ def _blocks(rows: DataFrame, dim: int, tiles: int, ordered: bool) -> DataFrame:
             lists = batch["x"]
             sizes = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().to_numpy()
-            x = np.zeros((batch.num_rows, dim), np.int32)
+            x = np.zeros((batch.num_rows, dim), np.int64)
             x[np.arange(dim) < sizes[:, None]] = flat
             ids.append(batch["vec_id"].to_numpy())
             xs.append(x)
@@ -93,11 +98,18 @@ def _blocks(rows: DataFrame, dim: int, tiles: int, ordered: bool) -> DataFrame:
 
 
 def _product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products as 64-bit integers; through floating point where that is exact."""
+    """Inner products as integers: through floating point where that is exact, and of any length where 64 bits don't hold them."""
     most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
     if most < 2**52:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q.astype(np.int64) @ x.astype(np.int64).T
+    if most < 2**62:
+        return q @ x.T
+    return q.astype(object) @ x.astype(object).T
+
+
+def _halves(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores as two numbers of 64 bits that order them."""
+    return (scores >> _LOW).astype(np.int64), (scores & ((1 << _LOW) - 1)).astype(np.int64)
 
 
 class BlockIndex:
@@ -112,7 +124,8 @@ class BlockIndex:
         """For each query and block, a number that no score in the block is above."""
         q = q.astype(np.float64)
         found = np.maximum(q, 0) @ self.high.T + np.minimum(q, 0) @ self.low.T
-        return found + np.abs(found) * 1e-12  # for sums beyond exact floating point
+        # what rounding can take from sums beyond exact floating point
+        return found + np.abs(q) @ np.maximum(np.abs(self.high), np.abs(self.low)).T * ((q.shape[1] + 4) * 2.0**-52)
 
     def search(self, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
         """Best (scores, ids) of each query, ties to the smaller id; and how many blocks were scored, over all queries."""
@@ -133,12 +146,12 @@ class BlockIndex:
                 ids, x = self.blocks[b]
                 scores = _product(q[rows], x)
                 for r, s in zip(rows.tolist(), scores, strict=True):
-                    pick = (s >= kth[r]) & (ids != query_ids[r])
-                    s, i = np.concatenate([best[r][0], s[pick]]), np.concatenate([best[r][1], ids[pick]])
-                    top = np.lexsort([i, -s])[:k]
+                    pick = (s >= kth[r]).astype(bool) & (ids != query_ids[r])
+                    s, i = np.concatenate([best[r][0], s[pick]]) if len(best[r][0]) else s[pick], np.concatenate([best[r][1], ids[pick]])
+                    top = np.lexsort([i, *(~part for part in _halves(s)[::-1])])[:k]  # falling scores, then rising identifiers
                     best[r] = s[top], i[top]
                     if len(top) == k:
-                        kth[r] = s[top[-1]]
+                        kth[r] = math.nextafter(float(s[top[-1]]), -math.inf)  # not above the exact score
         return best, scored
 
 
@@ -154,7 +167,7 @@ def top_k(vectors: DataFrame, k: int, scale: int, query: Column, id_col: str = "
     given = _blocks(rows, dim, tiles, True).select(each(query_tiles, "q_tile"), F.col("tile").alias("d_tile"), "ids", "vectors")
 
     def unpack(table: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [(np.frombuffer(i, np.int64), np.frombuffer(x, np.int32).reshape(-1, dim)) for i, x in zip(table["ids"], table["vectors"], strict=True)]
+        return [(np.frombuffer(i, np.int64), np.frombuffer(x, np.int64).reshape(-1, dim)) for i, x in zip(table["ids"], table["vectors"], strict=True)]
 
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out, index = [], BlockIndex(unpack(right)) if len(right) else None
@@ -163,9 +176,11 @@ def top_k(vectors: DataFrame, k: int, scale: int, query: Column, id_col: str = "
             found, _ = index.search(ids, q, k)
             mark = pd.util.hash_array(np.array([x.tobytes() for x in q], object)).astype(np.int64) if (same > 0).any() else np.zeros(len(q), np.int64)
             for i, n, m, (s, v) in zip(ids.tolist(), same.tolist(), mark.tolist(), found, strict=True):
-                out.append(pd.DataFrame({"query_id": i, "query_row": m + n, "vec_id": v, "score": s}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "score": []}, dtype=np.int64)
+                high, low = _halves(s)
+                out.append(pd.DataFrame({"query_id": i, "query_row": m + n, "vec_id": v, "high": high, "low": low}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "high": [], "low": []}, dtype=np.int64)
 
     hits = asked.groupBy("q_tile", "d_tile").cogroup(given.groupBy("q_tile", "d_tile")).applyInPandas(search, _HIT)
-    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = Window.partitionBy("query_id", "query_row").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    score = F.when(F.col("high") > 1, F.lit(2**63 - 1)).when(F.col("high") < -2, F.lit(-(2**63))).otherwise(F.shiftleft("high", _LOW) + F.col("low"))
+    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
