@@ -140,7 +140,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
     of = lambda k: F.filter("base", lambda s: s["kind"] == k)
     counts = [F.size(of(k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 @query
