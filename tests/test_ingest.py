@@ -259,3 +259,29 @@ def test_raw_fixture_decodes(spark):
     df = spark.createDataFrame([("A", "1h", json.dumps([raw(0, H), ["short"]]))], "symbol string, `interval` string, response_json string")
     row = decode_klines(df).first()
     assert decode_klines(df).count() == 1 and (row["position"], row["volume"], row["number_of_trades"]) == (0, Decimal("10.5"), 50)
+
+
+def test_appends_read_nothing_and_fold_parts(spark, tmp_path):
+    """A table of n appends has some log n parts, and ids and rows are those of one write."""
+    import tidemark.operators.store as module
+
+    fold, module.FOLD = module.FOLD, 3
+    try:
+        store = Store(spark, f"file://{tmp_path}")
+        store.initialize()
+        store.upsert_symbols([{"symbol": "AAA", "base_asset": "A", "quote_asset": "Q", "status": "TRADING", "updated_at": 1}])
+        ids = [store.archive_responses([{"endpoint": "e", "params_json": "{}", "response_json": f"[{k}]", "fetched_at": k}])[0] for k in range(10)]
+        assert ids == list(range(1, 11)) and len(store._tables()["raw_api_responses"]) == 2
+        rows = store.table("raw_api_responses").orderBy("id").collect()
+        assert [(r["id"], r["response_json"]) for r in rows] == [(k + 1, f"[{k}]") for k in range(10)] and len({r["content_hash"] for r in rows}) == 10
+        bar = {"symbol": "AAA", "interval": "1h", "open_price": "1", "high_price": "2", "low_price": "1", "close_price": "2", "volume": "3", "quote_asset_volume": "4", "number_of_trades": 5, "taker_buy_base_volume": "1", "taker_buy_quote_volume": "1"}
+        at = lambda k, volume="3": bar | {"open_time": k * 3_600_000, "close_time": (k + 1) * 3_600_000 - 1, "volume": volume}
+        for k in range(4):
+            store.upsert_klines([at(2 * k), at(2 * k + 1, "7"), at(2 * k + 1)])
+        parts = store._tables()["klines"]["1h/AAA"]["parts"]
+        assert [level for _, level in parts] == [1, 0]
+        store.upsert_klines([at(2, "9"), at(8)])  # an older candle: the series is written anew
+        assert len(store._tables()["klines"]["1h/AAA"]["parts"]) == 1
+        assert [(r["open_time"] // 3_600_000, int(r["volume"])) for r in store.klines("AAA", "1h").orderBy("open_time").collect()] == [(k, 9 if k == 2 else 3) for k in range(9)]
+    finally:
+        module.FOLD = fold

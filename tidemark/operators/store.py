@@ -1,9 +1,16 @@
 """A versioned store of the engine's tables on files.
 
-A write makes a new version directory of the tables it touches and then moves one pointer, a small file that names the
-current directory of every table: what belongs together becomes visible together, and a failed write leaves nothing
-behind that is read. For candles the pointer names a directory per series, so that an upsert rewrites the series that
-it touches and no others, and a lookup reads one series.
+A write makes new directories for what it adds and then moves one pointer, a small file that names the directories of
+every table: what belongs together becomes visible together, and a failed write leaves nothing behind that is read.
+
+An append adds one directory (a part) and reads nothing. Parts have levels: as soon as FOLD parts of a level follow
+each other at the end, they are written as one of the next level, so that a row is written again once per level, and a
+table of n parts has some log n of them. For candles the pointer names parts per series. Candles that are all later
+than their series are appended; an upsert that meets older ones rewrites the series that it touches, and no others. A
+lookup reads one series.
+
+The folder's file system must refuse to rename to a name that exists (HDFS and local disks do); an object store
+without that needs a single writer.
 """
 
 from __future__ import annotations
@@ -21,6 +28,9 @@ from pyspark.sql import functions as F
 from tidemark.errors import StoreError, StoreInitError, StoreIntegrityError
 from tidemark.types import KEYS, PRICES, SCHEMA_VERSION, TABLES, VOLUMES, epoch_ms, interval_ms, symbol_name
 
+#: Parts of a level that are written as one of the next.
+FOLD = 16
+
 PARENTS = {
     "klines": [("symbol", "symbols", "symbol"), ("raw_response_id", "raw_api_responses", "id")],
     "symbol_status_events": [("symbol", "symbols", "symbol"), ("raw_response_id", "raw_api_responses", "id")],
@@ -129,41 +139,64 @@ class Store:
         pointer = self._pointer()
         return pointer and pointer["schema_version"]
 
+    def _tables(self) -> dict:
+        return (self._pointer() or {"tables": {}})["tables"]
+
     def table(self, name: str) -> DataFrame:
         """The current version of a table."""
         if name not in TABLES:
             raise StoreError(f"no table {name}")
-        at = (self._pointer() or {"tables": {}})["tables"].get(name)
-        return self._read(name, list(at.values()) if isinstance(at, dict) else [at] if at else [])
+        at = self._tables().get(name, [])
+        return self._read(name, [part for series in at.values() for part in series["parts"]] if isinstance(at, dict) else at)
 
-    def _read(self, name: str, paths: list[str]) -> DataFrame:
-        if not paths:
+    def _read(self, name: str, parts: Sequence[Sequence]) -> DataFrame:
+        """Rows of some parts, which are pairs of a path and a level."""
+        if not parts:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self.folder}/{p}" for p in paths))
+        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self.folder}/{path}" for path, _ in parts))
 
     def _series(self, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         """Candles of some series (interval, symbol)."""
-        at = (self._pointer() or {"tables": {}})["tables"].get("klines", {})
-        return self._read("klines", [at[k] for k in (f"{i}/{s}" for i, s in pairs) if k in at])
-
-    def _write(self, frames: dict[str, DataFrame]) -> None:
-        """New versions of some tables, visible together."""
+        at = self._tables().get("klines", {})
+        return self._read("klines", [part for k in (f"{i}/{s}" for i, s in pairs) for part in at.get(k, {"parts": []})["parts"]])
+
+    def _saved(self, name: str, df: DataFrame, number: int) -> str:
+        path = f"data/{name}/{number:012d}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.folder}/{path}")
+        return path
+
+    def _folded(self, name: str, parts: list, number: int) -> list:
+        """Parts, with FOLD of one level at the end written as one."""
+        while len(parts) >= FOLD and len({level for _, level in parts[-FOLD:]}) == 1:
+            whole = self._saved(name, self._read(name, parts[-FOLD:]), number)
+            parts = [*parts[:-FOLD], [whole, parts[-1][1] + 1]]
+        return parts
+
+    def _write(self, frames: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, last_ids: dict[str, int] | None = None, later: bool = False) -> None:
+        """Tables that frames replace and rows that are added, visible together; of candles, the series in a frame (added to if later)."""
         pointer = self._pointer()
         if pointer is None:
             raise StoreError("the store isn't initialized")
-        tables = dict(pointer["tables"])
+        tables, number = dict(pointer["tables"]), pointer["number"] + 1
         for name, df in frames.items():
-            path = f"data/{name}/{pointer['number'] + 1:012d}-{uuid.uuid4().hex}"
-            if name == "klines":
-                rows = df.withColumns({"p_interval": F.col("interval"), "p_symbol": F.col("symbol")}).sortWithinPartitions("p_interval", "p_symbol", "open_time")
-                rows.write.partitionBy("p_interval", "p_symbol").parquet(f"{self.folder}/{path}")
-                escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-                touched = self.spark.read.parquet(f"{self.folder}/{path}").select("interval", "symbol").distinct().collect()  # a row per series written
-                tables[name] = tables.get(name, {}) | {f"{r[0]}/{r[1]}": f"{path}/p_interval={escape(r[0])}/p_symbol={escape(r[1])}" for r in touched}
-            else:
-                df.write.parquet(f"{self.folder}/{path}")
-                tables[name] = path
-        self._commit(pointer | {"number": pointer["number"] + 1, "tables": tables})
+            tables[name] = self._with_series(tables.get(name, {}), df, number, later) if name == "klines" else [[self._saved(name, df, number), 0]]
+        for name, df in (added or {}).items():
+            tables[name] = self._folded(name, [*tables.get(name, []), [self._saved(name, df, number), 0]], number)
+        self._commit(pointer | {"number": number, "tables": tables, "last_ids": pointer.get("last_ids", {}) | (last_ids or {})})
+
+    def _with_series(self, series: dict, df: DataFrame, number: int, later: bool) -> dict:
+        """The parts of all series of candles after those in df are written."""
+        path = f"data/klines/{number:012d}-{uuid.uuid4().hex}"
+        rows = df.withColumns({"p_interval": F.col("interval"), "p_symbol": F.col("symbol")}).sortWithinPartitions("p_interval", "p_symbol", "open_time")
+        rows.write.partitionBy("p_interval", "p_symbol").parquet(f"{self.folder}/{path}")
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        written = self.spark.read.parquet(f"{self.folder}/{path}").groupBy("interval", "symbol").agg(F.max("open_time").alias("last")).collect()  # a row per series
+        found = dict(series)
+        for r in written:
+            key, part = f"{r['interval']}/{r['symbol']}", [f"{path}/p_interval={escape(r['interval'])}/p_symbol={escape(r['symbol'])}", 0]
+            parts = [*(series.get(key, {"parts": []})["parts"] if later else []), part]
+            found[key] = {"parts": self._folded("klines", parts, number), "last": r["last"]}
+        return found
 
     def _frame(self, name: str, rows: Sequence[dict]) -> DataFrame:
         columns = [f.split()[0].strip("`") for f in _fields(TABLES[name])]
@@ -178,28 +211,25 @@ class Store:
 
     # appends
 
-    def _appended(self, name: str, rows: Sequence[dict]) -> tuple[DataFrame, list[int]]:
-        old = self.table(name)
-        first = (old.agg(F.max("id")).first()[0] or 0) + 1
-        ids = list(range(first, first + len(rows)))
-        new = self._frame(name, [r | {"id": i} for r, i in zip(rows, ids, strict=True)])
-        self._check_parents(name, new)
-        return old.unionByName(new), ids
+    def _next_ids(self, name: str, n: int) -> list[int]:
+        first = (self._pointer() or {}).get("last_ids", {}).get(name, 0) + 1
+        return list(range(first, first + n))
 
     def _append(self, name: str, rows: Sequence[dict]) -> list[int]:
+        """Rows under new identifiers, which the pointer counts: nothing that is stored is read."""
         if not rows:
             return []
-        found, ids = self._appended(name, rows)
-        self._write({name: found})
+        ids = self._next_ids(name, len(rows))
+        new = self._frame(name, [r | {"id": i} for r, i in zip(rows, ids, strict=True)])
+        self._check_parents(name, new)
+        if name == "raw_api_responses":
+            new = new.withColumn("content_hash", F.sha2("response_json", 256))
+        self._write({}, added={name: new}, last_ids={name: ids[-1]})
         return ids
 
     def archive_responses(self, rows: Sequence[dict]) -> list[int]:
         """Raw payloads with the SHA-256 of their text; ids in the order given."""
-        if not rows:
-            return []
-        found, ids = self._appended("raw_api_responses", [{"fetched_at": epoch_ms(r["fetched_at"]), **r} for r in rows])
-        self._write({"raw_api_responses": found.withColumn("content_hash", F.sha2("response_json", 256))})
-        return ids
+        return self._append("raw_api_responses", [{"fetched_at": epoch_ms(r["fetched_at"]), **r} for r in rows])
 
     def append_status_events(self, rows: Sequence[dict], verbatim: bool = False) -> list[int]:
         """Status events; statuses are trimmed and in upper case unless verbatim."""
@@ -248,12 +278,12 @@ class Store:
                 return 0, 0
             new = changes.withColumns({"updated_at": F.lit(effective_at).cast("long"), "created_at": F.lit(None).cast("timestamp"), "batch_pos": F.lit(0)})
             symbols = self._symbols_merged(new.select(*self.table("symbols").columns, "batch_pos"))
-            old = self.table("symbol_status_events")
-            first = (old.agg(F.max("id")).first()[0] or 0) + 1
+            first = self._next_ids("symbol_status_events", 1)[0]
             rows = changes.filter("is_event").select("symbol", "status", "is_spot_trading_allowed", F.lit(effective_at).cast("long").alias("effective_at"), F.lit(raw_response_id).cast("long").alias("raw_response_id"))
             order = F.row_number().over(Window.orderBy("symbol"))  # the instruments of one exchange: thousands
             rows = rows.withColumn("id", (order + first - 1).cast("long"))
-            self._write({"symbols": symbols, "symbol_status_events": old.unionByName(rows.select(*old.columns))})
+            columns = [f.split()[0] for f in _fields(TABLES["symbol_status_events"])]
+            self._write({"symbols": symbols}, added={"symbol_status_events": rows.select(*columns)}, last_ids={"symbol_status_events": first + events - 1})
             return n, events
         finally:
             changes.unpersist()
@@ -265,19 +295,24 @@ class Store:
         if isinstance(chunk_size, bool) or not isinstance(chunk_size, int) or chunk_size < 1:
             raise ValueError(f"chunk_size must be positive, got {chunk_size!r}")
         typed = [kline_row(r, i) for i, r in enumerate(rows)]
-        new = self._frame("klines", typed)
-        position = self.spark.createDataFrame([(*(t[k] for k in KEYS["klines"]), i) for i, t in enumerate(typed)], "symbol string, `interval` string, open_time long, batch_pos long")
-        last = position.groupBy(*KEYS["klines"]).agg(F.max("batch_pos").alias("batch_pos"))
-        kept = self._frame("klines", [typed[i] for i in sorted(r["batch_pos"] for r in last.collect())]) if last.count() < len(typed) else new
-        return self.upsert_kline_frame(kept.withColumn("batch_pos", F.lit(0)), len(typed))
+        last = {tuple(t[k] for k in KEYS["klines"]): t for t in typed}
+        return self.upsert_kline_frame(self._frame("klines", list(last.values())).withColumn("batch_pos", F.lit(0)), len(typed))
 
     def upsert_kline_frame(self, new: DataFrame, count: int | None = None) -> int:
         """Candles of a frame with batch_pos written or replaced."""
-        self._check_parents("klines", new)
-        old = self._series([tuple(r) for r in new.select("interval", "symbol").distinct().collect()])
-        n = new.count() if count is None else count
-        self._write({"klines": merged(old, new.select(*old.columns, "batch_pos"), KEYS["klines"], "batch_pos").select(*old.columns)})
-        return n
+        new = new.cache()
+        try:
+            self._check_parents("klines", new)
+            touched = new.groupBy("interval", "symbol").agg(F.min("open_time").alias("first"), F.count("*").alias("n")).collect()  # a row per series
+            known = self._tables().get("klines", {})
+            after = all(r["first"] > known.get(f"{r['interval']}/{r['symbol']}", {"last": -1})["last"] for r in touched)
+            old = self._read("klines", []) if after else self._series([(r["interval"], r["symbol"]) for r in touched])
+            columns = [f.split()[0].strip("`") for f in _fields(TABLES["klines"])]
+            if touched:
+                self._write({"klines": merged(old, new.select(*columns, "batch_pos"), KEYS["klines"], "batch_pos").select(*columns)}, later=after)
+            return sum(r["n"] for r in touched) if count is None else count
+        finally:
+            new.unpersist()
 
     def insert_kline(self, row: dict) -> None:
         """A candle whose key must be new."""
@@ -287,7 +322,7 @@ class Store:
         old = self._series([(typed["interval"], typed["symbol"])])
         if not old.join(new, KEYS["klines"], "left_semi").isEmpty():
             raise StoreIntegrityError(f"candle {[typed[k] for k in KEYS['klines']]} exists")
-        self._write({"klines": old.unionByName(new)})
+        self.upsert_kline_frame(new.withColumn("batch_pos", F.lit(0)))
 
     # lookups
 
