@@ -38,7 +38,7 @@ TOLERANCE = 1e-3
 STEPS = 60
 GAIN = 1e-3
 #: Least share of the largest eigenvalue for a difference between domains that rates follow.
-APART = 1e-4
+APART = 0.1
 
 
 @dataclass(frozen=True)
@@ -112,7 +112,8 @@ def fit_rates(rows: DataFrame, wanted: np.ndarray, most: float | None = None) ->
     steps: list[np.ndarray] = []
     have, moments = measured(steps)
     own, whole = have, moments
-    error = lambda have: float(np.sqrt((((have - wanted) ** 2)[own > 0] / own[own > 0]).sum()))
+    # the least squares that the steps are for: of residuals weighed by the inverse moments
+    error = lambda have: float(np.sqrt(max(0.0, (have - wanted) @ _solved(whole, own, have - wanted))))
     tried = 0
     while tried < STEPS and own.any() and (np.abs(have - wanted) > _allowed(wanted))[own > 0].any():
         before = error(have)
