@@ -46,9 +46,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     All rows of the identifier that stays are kept, also repeated ones.
     """
-    stay = near_dedup(docs, words=5, percent=80).filter("kept").select(F.col("doc_id").alias("stay_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("stay_id"), "left_semi")
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    stay = near_dedup(docs, words=5, percent=80).filter("kept").select("doc_id").distinct()
+    return docs.join(stay, "doc_id", "left_semi").unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
 
 
 def mixing_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> tuple[DataFrame, Fit]:
