@@ -14,6 +14,7 @@ from tidemark.operators.segments import numeric, segmented
 from tidemark.operators.store import latest_rows, merged, orphans
 from tidemark.operators.universe import universe_diff
 from tidemark.operators.validation import violations
+from tidemark.sources.decode import KLINE_FIELDS, decode_exchange_info, decode_klines, decode_tickers
 from tidemark.plans.adapters import EVENT_MS, candles, table
 from tidemark.types import FEATURE_NAMES, INTERVAL_MS
 
@@ -324,6 +325,11 @@ def coverage_report(spark, sf_dir):
     return _covered(spark, sf_dir)[0].select("symbol", "aligned_start", "aligned_end", "expected", "actual", "missing", "is_complete")
 
 
+@query(f"""{_COV} SELECT e.symbol, round(CAST(actual AS DOUBLE) / ((top - lo) // 3600000 + 1), 4) AS coverage_ratio FROM edge e""")
+def coverage_ratio(spark, sf_dir):
+    return _covered(spark, sf_dir)[0].select("symbol", F.round(F.col("coverage_ratio").cast("double"), 4).alias("coverage_ratio"))
+
+
 @query(f"{_COV} SELECT symbol, gap_type, gap_start, gap_end, (gap_end - gap_start) // 3600000 + 1 AS missing FROM gaps")
 def coverage_gaps(spark, sf_dir):
     return _covered(spark, sf_dir)[1].select("symbol", "gap_type", "gap_start", "gap_end", "missing")
@@ -419,6 +425,64 @@ def upsert_latest(spark, sf_dir):
     return merged(old, batch, ["symbol", "interval", "open_time"], "batch_pos").select("symbol", "open_time", F.col("volume").cast("double").alias("volume"))
 
 
+# -- decoders and sequence rules ---------------------------------------------------------------------------------------
+
+
+@query(f"WITH {candles_sql()} SELECT {_BAR_SQL}, CAST(row_number() OVER (PARTITION BY symbol, open_time // 86400000 ORDER BY open_time) - 1 AS INTEGER) AS position FROM bars")
+def decoded_klines(spark, sf_dir):
+    """Pages of a day of candles each, as an exchange sends them, decoded again."""
+    values = [F.col(name).cast("string") for name in KLINE_FIELDS]
+    day = F.floor(F.col("open_time") / 86_400_000)
+    page = F.transform(F.array_sort(F.collect_list(F.struct("open_time", F.array(*values).alias("k")))), lambda x: x["k"])
+    pages = bars(spark, sf_dir).groupBy("symbol", "interval", day.alias("day")).agg(F.to_json(page).alias("response_json"))
+    found = decode_klines(pages)
+    return found.select(*(F.col(c).cast("double").alias(c) if c in _BAR_DOUBLES else F.col(c) for c in _BAR), F.col("position").cast("int").alias("position"))
+
+
+@query("""SELECT upper('c' || c_custkey) AS symbol, c_mktsegment AS base_asset, 'USDT' AS quote_asset, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'TRADING' END AS status,
+    c_custkey % 2 = 0 AS is_spot_trading_allowed, CAST(CASE WHEN c_custkey % 3 = 0 THEN 8 ELSE c_custkey % 9 END AS INTEGER) AS base_asset_precision,
+    CAST(c_custkey // 100 AS BIGINT) AS server_time FROM customer""")
+def decoded_exchange_info(spark, sf_dir):
+    """Exchange metadata of a hundred instruments a response; left-out fields take their defaults, names come in any case."""
+    key = F.col("c_custkey")
+    entry = F.struct(
+        F.concat(F.lit(" c"), key.cast("string")).alias("symbol"), F.when(key % 5 != 0, "TRADING").alias("status"), F.col("c_mktsegment").alias("baseAsset"), F.lit("USDT").alias("quoteAsset"),
+        F.when(key % 3 != 0, key % 9).cast("int").alias("baseAssetPrecision"), F.when(key % 2 == 0, True).alias("isSpotTradingAllowed"),
+    )
+    groups = table(spark, sf_dir, "customer").groupBy(F.floor(key / 100).alias("serverTime")).agg(F.collect_list(entry).alias("symbols"))
+    found = decode_exchange_info(groups.select(F.to_json(F.struct("serverTime", "symbols")).alias("response_json")))
+    return found.select("symbol", "base_asset", "quote_asset", "status", "is_spot_trading_allowed", "base_asset_precision", "server_time")
+
+
+@query("SELECT CAST(event_id AS BIGINT) AS event_id, upper(event_type) AS symbol, CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) AS price FROM events WHERE event_id % 7 <> 0")
+def decoded_tickers(spark, sf_dir):
+    """Tickers, one by one or in a list; those without a number are no tickers."""
+    price = F.when(F.col("event_id") % 7 == 0, "none").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+    one = F.to_json(F.struct(F.concat(F.lit(" "), F.col("event_type")).alias("symbol"), price.alias("price")))
+    payload = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("["), one, F.lit("]"))).otherwise(one)
+    found = decode_tickers(table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("event_id"), payload.alias("response_json")))
+    return found.select("event_id", "symbol", F.col("price").cast("double").alias("price"))
+
+
+def _shuffled(df: DataFrame) -> DataFrame:
+    """Candles in an order with repeats, steps back and, at every seventh bar, an open time ten minutes late."""
+    at = F.floor(F.col("open_time") / 3_600_000)
+    late = F.when(at % 7 == 3, F.col("open_time") + 600_000).otherwise(F.col("open_time"))
+    position = F.when(at % 11 == 5, F.col("open_time") - 5_400_000).otherwise(F.col("open_time"))
+    rows = df.withColumns({"position": position, "open_time": late})
+    return rows.unionByName(rows.filter(at % 13 == 1).withColumn("position", F.col("position") + 1))
+
+
+@query(f"""WITH {candles_sql()}, a AS (SELECT symbol, open_time // 3600000 AS hr, open_time AS raw FROM bars),
+r AS (SELECT symbol, hr, CASE WHEN hr % 7 = 3 THEN raw + 600000 ELSE raw END AS open_time, CASE WHEN hr % 11 = 5 THEN raw - 5400000 ELSE raw END AS position FROM a),
+x AS (SELECT symbol, open_time, position FROM r UNION ALL SELECT symbol, open_time, position + 1 FROM r WHERE hr % 13 = 1),
+d AS (SELECT *, open_time - lag(open_time) OVER (PARTITION BY symbol ORDER BY position) AS step FROM x)
+SELECT symbol, open_time, position, CAST(CASE WHEN step = 0 THEN 15 WHEN step < 0 THEN 16 WHEN step < 3600000 THEN 17 END AS INTEGER) AS rule FROM d WHERE step < 3600000""")
+def sequence_violations(spark, sf_dir):
+    found = violations(_shuffled(bars(spark, sf_dir)), None, "position").filter("rule >= 15")
+    return found.select("symbol", "open_time", F.col("position").cast("long").alias("position"), F.col("rule").cast("int").alias("rule"))
+
+
 @query("SELECT event_id, sha256(props) AS content_hash FROM events WHERE props IS NOT NULL")
 def raw_archive_hash(spark, sf_dir):
     return table(spark, sf_dir, "events").filter("props IS NOT NULL").select("event_id", F.sha2("props", 256).alias("content_hash"))
