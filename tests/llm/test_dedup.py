@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm.components import components, forest
-from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.exact_dedup import _ENTRY, _KEY, exact_dedup, merge_runs, sorted_run
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.near_dedup import BLOCK, _pack, _unpack, links, near_dedup, shingle_hashes
 
@@ -37,6 +37,25 @@ def test_exact_dedup_of_odd_rows(odd_docs, no_docs):
         exact_dedup(no_docs, "first")
 
 
+@pytest.mark.parametrize("keep, best", [("smallest", min), ("largest", max)])
+def test_merged_runs_equal_brute_force(keep, best):
+    rng = np.random.default_rng(2)
+    for values in (1, 3, 3, 50) * 10:
+        parts = []
+        for size in rng.integers(0, 40, rng.integers(0, 20)):
+            part = np.zeros(size, _ENTRY)
+            for k in _KEY:
+                part[k] = rng.integers(0, 9 if k == "d1" else values, size)
+            part["d0"] += np.uint64(2**64 - 60)
+            part["id"], part["n"] = rng.integers(-50, 50, size), rng.integers(1, 4, size)
+            parts.append(part)
+        groups = {}
+        for *key, i, n in (e for part in parts for e in part.tolist()):
+            groups.setdefault(tuple(key), []).append((i, n))
+        want = [(*key, best(i for i, _ in g), sum(n for _, n in g)) for key, g in sorted(groups.items())]
+        assert merge_runs([sorted_run(part, keep) for part in parts], keep).tolist() == want
+
+
 def brute_lines(rows, least):
     strip = " \t\x0b\x0c\r\n"
     key = lambda x: x.strip(strip).translate(LOWER)

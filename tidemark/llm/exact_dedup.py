@@ -32,6 +32,7 @@ _BITS = FANIN.bit_length() - 1
 _RUN = "slot long, run binary"
 #: A run's entry: the digest as four words in order, a second fingerprint (length and 64-bit hash) that verifies it, identifier and count.
 _ENTRY = np.dtype([("d0", "<u8"), ("d1", "<u8"), ("d2", "<u8"), ("d3", "<u8"), ("size", "<i8"), ("mark", "<i8"), ("id", "<i8"), ("n", "<i8")])
+_KEY = ("d0", "d1", "d2", "d3", "size", "mark")
 _MERGED = "digest binary, size long, mark long, keep_id long, group_size long"
 
 
@@ -43,18 +44,51 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def merge_runs(entries: np.ndarray, keep: str) -> np.ndarray:
-    """Entries of several runs as one run: sorted, with one entry for each verified digest."""
+def sorted_run(entries: np.ndarray, keep: str) -> np.ndarray:
+    """Entries in any order as a run: sorted, with one entry for each verified digest."""
+    return _one_each(entries[np.lexsort([entries[k] for k in reversed(_KEY)])], keep)
+
+
+def merge_runs(runs: list[np.ndarray], keep: str) -> np.ndarray:
+    """Several runs as one, merged FANIN at a time; each merge keeps one entry for each verified digest."""
+    runs = [r for r in runs if len(r)]
+    while len(runs) > 1:
+        runs = [_one_each(_merged(runs[k : k + FANIN]), keep) for k in range(0, len(runs), FANIN)]
+    return runs[0] if runs else np.zeros(0, _ENTRY)
+
+
+def _merged(runs: list[np.ndarray]) -> np.ndarray:
+    """All entries of some runs in order: an entry's place is that in its own run and those that it takes in the others."""
+    heads = [np.ascontiguousarray(r["d0"]) for r in runs]
+    out = np.empty(sum(map(len, runs)), _ENTRY)
+    for i, (run, head) in enumerate(zip(runs, heads, strict=True)):
+        place = np.arange(len(run))
+        for j, other in enumerate(heads):
+            if j != i:
+                place += np.searchsorted(other, head, "right" if j < i else "left")
+        out[place] = run
+    # digests that agree in the first word alone: rare, and put in full order here
+    same = out["d0"][1:] == out["d0"][:-1]
+    if (same & _changes(out)).any():
+        tied = np.flatnonzero(np.append(same, False) | np.insert(same, 0, False))
+        out[tied] = out[tied][np.lexsort([out[k][tied] for k in reversed(_KEY)])]
+    return out
+
+
+def _changes(entries: np.ndarray) -> np.ndarray:
+    """Where an entry's digest, length or hash differs from that of the one before it."""
+    found = np.zeros(max(0, len(entries) - 1), bool)
+    for k in _KEY:
+        found |= entries[k][1:] != entries[k][:-1]
+    return found
+
+
+def _one_each(entries: np.ndarray, keep: str) -> np.ndarray:
+    """Sorted entries, with one for each verified digest: the identifier that stays, and the count."""
     if len(entries) < 2:
         return entries
-    order = np.lexsort([entries[k] for k in ("mark", "size", "d3", "d2", "d1", "d0")])
-    entries = entries[order]
     # The same digest with another length or hash would be a collision: such entries stay apart.
-    new = np.zeros(len(entries), bool)
-    new[0] = True
-    for k in ("d0", "d1", "d2", "d3", "size", "mark"):
-        new[1:] |= entries[k][1:] != entries[k][:-1]
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(np.insert(_changes(entries), 0, True))
     out = entries[starts]
     best = np.minimum if keep == "smallest" else np.maximum
     out["id"] = best.reduceat(entries["id"], starts)
@@ -101,15 +135,14 @@ def keep_one(found: DataFrame, keep: str = "smallest") -> DataFrame:
                 entry[k] = batch[k].to_numpy(zero_copy_only=False)
             entry["id"] = batch["doc_id"].fill_null(loses).to_numpy(zero_copy_only=False)
             entry["n"] = 1
-            runs.append(merge_runs(entry, keep))
+            runs.append(sorted_run(entry, keep))
         if runs:
-            run = merge_runs(np.concatenate(runs), keep)
+            run = merge_runs(runs, keep)
             # digit 0 is the most significant one, so the parts are contiguous in the sorted run
             yield from _table(list(_dealt(run, slot, 0, digits))).to_batches()
 
     def merged(table: pa.Table) -> tuple[int, np.ndarray]:
-        entries = np.concatenate([np.frombuffer(x, _ENTRY) for x in table["run"].to_pylist()])
-        return table["slot"][0].as_py(), merge_runs(entries, keep)
+        return table["slot"][0].as_py(), merge_runs([np.frombuffer(x, _ENTRY) for x in table["run"].to_pylist()], keep)
 
     def exchange(digit: int):
         def step(table: pa.Table) -> pa.Table:
