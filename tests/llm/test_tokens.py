@@ -109,6 +109,18 @@ def test_token_files_query_and_odd_rows(spark, odd_docs, no_docs):
     assert read_token_files(spark, write_token_files(no_docs, fresh_path(spark, "t"), WORDS, 2)).count() == 0
 
 
+def test_rows_without_an_identifier_spread_over_files(spark):
+    rows = [(None if i % 3 else i, f"text {i} of them") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = write_token_files(docs, fresh_path(spark, "t"), WORDS, 2, length=16)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(files) > 2 and max(f.n_docs for f in files) < 300
+    assert sorted(map(tuple, read_token_files(spark, files).collect()), key=repr) == brute(rows)
+
+
 def test_sequences_are_views_of_the_file(spark):
     rows = [(i, f"word{i} " * 40) for i in range(60)]
     files = write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), fresh_path(spark, "t"), WORDS, 2, length=32)

@@ -35,6 +35,8 @@ from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, release, runs, words_of
 BATCH_ROWS = 64
 #: New words that the tokenizer gets as one text, and what its tokens for the end of a word end in.
 JOINED_WORDS = 1000
+#: Characters of a text by which rows of one identifier are ranged.
+RANGE_CHARS = 256
 WORD_END = "</w>"
 
 _MANIFEST = "part long, tokens_path string, docs_path string, n_docs long, n_tokens long"
@@ -218,7 +220,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
             yield pa.RecordBatch.from_pydict({"part": [part], "tokens_path": [tokens], "docs_path": [tokens + ".docs"], "n_docs": [n_docs], "n_tokens": [writer.total]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the start of the text, so that an identifier (or null) that many rows share doesn't fill one file
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
     found, base = [], 0
     for r in sorted(ordered.mapInArrow(write, _MANIFEST).collect(), key=lambda r: r["part"]):  # a row per file
         found.append(TokenFile(r["tokens_path"], r["docs_path"], r["n_docs"], r["n_tokens"], base))
