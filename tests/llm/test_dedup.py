@@ -5,6 +5,7 @@ import time
 import numpy as np
 import pytest
 
+from tidemark.llm import common
 from tidemark.llm.components import components, forest
 from tidemark.llm.exact_dedup import _ENTRY, _KEY, exact_dedup, merge_runs, sorted_run
 from tidemark.llm.line_dedup import line_dedup
@@ -56,6 +57,17 @@ def test_merged_runs_equal_brute_force(keep, best):
         assert merge_runs([sorted_run(part, keep) for part in parts], keep).tolist() == want
 
 
+@pytest.mark.parametrize("light, keys", [(2000, 100_000), (10, 100_000), (0, 3)])
+def test_join_of_hot_keys(spark, monkeypatch, light, keys):
+    monkeypatch.setattr(common, "LIGHT_ROWS", light)
+    monkeypatch.setattr(common, "HEAVY_KEYS", keys)
+    rows = [(i, 0 if i % 3 else i % 50) for i in range(900)]
+    left = spark.createDataFrame(rows, "row long, key long")
+    right = left.groupBy("key").count().selectExpr("key", "count as n", "key * 7 as value").filter("key != 9")
+    found = common.skew_join(left, right, ["key"], "n", len(rows)).select("row", "key", "value")
+    assert sorted(map(tuple, found.collect())) == [(i, k, k * 7) for i, k in rows if k != 9]
+
+
 def brute_lines(rows, least):
     strip = " \t\x0b\x0c\r\n"
     key = lambda x: x.strip(strip).translate(LOWER)

@@ -9,8 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A key with more than this share of the rows is joined by broadcast; there are fewer such keys than its inverse.
-HEAVY_SHARE = 1 / 2000
+#: Keys that a join may broadcast, and rows of a key below which none is.
+HEAVY_KEYS = 100_000
+LIGHT_ROWS = 2_000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -74,10 +75,11 @@ class Scratch:
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
     """Inner join to right, unique on keys, whose column `weight` counts the rows of left (`total` in all) that a key meets.
 
-    Keys with over HEAVY_SHARE of the rows are fewer than 1 / HEAVY_SHARE, whatever the input: they are broadcast, so
-    no task gets a hot key's rows. All other keys are shuffled, and none of them can fill a task.
+    Keys with over 1 / HEAVY_KEYS of the rows (and over LIGHT_ROWS) are fewer than HEAVY_KEYS, whatever the input: they
+    are broadcast, so no task gets a hot key's rows. All other keys are shuffled; the largest of them has a million rows
+    of 10 ** 11.
     """
-    limit = max(1, int(total * HEAVY_SHARE))
+    limit = max(LIGHT_ROWS, total // HEAVY_KEYS)
     heavy = F.broadcast(right.filter(F.col(weight) > limit))
     light = right.filter(F.col(weight) <= limit)
     rest = left.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
