@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, numbered, release, runs
+from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, hold, numbered, release, runs
 
 #: Bytes of text encoded at a time.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 #: Cells of one matrix.
 MATRIX_CELLS = 1_000_000
 #: Columns from which a row is a matrix of its own.
@@ -311,10 +310,9 @@ class BytePairEncoder:
         return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends[starts])), found.buffers()[2]]).cast(pa.binary())
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> BytePairEncoder:
     """The worker's encoder of a rank file."""
-    return BytePairEncoder(path, pattern)
+    return hold((path, pattern), lambda: BytePairEncoder(path, pattern))
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import chunks
 from tidemark.llm.common import Scratch, skew_join, written
 from tidemark.llm.components import components, forest
-from tidemark.llm.words import release, words_of
+from tidemark.llm.words import hold, release, words_of
 
 TREES = 16
 DEPTH = 8
@@ -129,6 +129,7 @@ def features(docs: DataFrame, words: int, id_col: str, text_col: str, sets: bool
     """Number of shingles, a key of the set, and the signature of every row; or, with sets, the key and the set itself."""
 
     def run(batches):
+        hold()  # what another operator keeps
         for batch in batches:
             for part in chunks(batch, most=CHUNK_BYTES):
                 found = shingle_sets(part["text"], words)
@@ -139,6 +140,7 @@ def features(docs: DataFrame, words: int, id_col: str, text_col: str, sets: bool
                 else:
                     sigs = pa.array([signature(s).astype(">u4").tobytes() for s in found], pa.binary())
                     yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([len(s) for s in found], pa.int64()), keys, sigs], ["doc_id", "n_shingles", "key", "sig"])
+            release()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(run, _SETS if sets else _SIGNED)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import chunks
 from tidemark.llm.common import smallest_hashes
-from tidemark.llm.words import Memo, release, run_sums, words_of
+from tidemark.llm.words import Memo, hold, release, run_sums, words_of
 
 #: Labelled documents to learn from, at most, and bytes of their texts, at most.
 SAMPLE_DOCS = 4000
@@ -193,6 +193,7 @@ def posteriors(model: Model, text: Column) -> Column:
 
     @F.arrow_udf("n_tokens long, posterior array<double>")
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hold()  # what another operator keeps
         score = model.scorer()
         for batch in texts:
             found, counts = [], []

@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import chunks
 from tidemark.llm.files import attempt_name, resolve
-from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, release, runs, words_of
+from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, hold, release, runs, words_of
 
 #: Sequences of one record batch.
 BATCH_ROWS = 64
@@ -103,9 +102,9 @@ class WordEncoder:
         return flat[runs(first[codes], size[codes])], ends[starts]
 
 
-@lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    """The worker's encoder of a tokenizer's file."""
+    return hold(path, lambda: WordEncoder(path))
 
 
 class SequenceWriter:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +94,21 @@ class Memo:
         return self.ends[rows], self.ends[rows + 1] - self.ends[rows]
 
 
+_held: dict[Any, Any] = {}
+
+
+def hold(key: Any = None, make: Callable[[], Any] | None = None) -> Any:
+    """What `make` gives, kept by the worker between tasks for a key. A worker keeps one such thing: another key, or none, drops it."""
+    if key not in _held:
+        _held.clear()
+        if make is not None:
+            _held[key] = make()
+    return _held.get(key)
+
+
 def release() -> None:
     """Gives memory that nothing uses any more back to the system."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
