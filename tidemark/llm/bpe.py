@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import small_batches
 from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, hold, numbered, release, runs
 
 #: Bytes of text encoded at a time.
@@ -341,7 +342,7 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
                 yield pa.RecordBatch.from_arrays([part["doc_id"], listed, decoded], ["doc_id", "ids", "decoded"])
             release()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, _SCHEMA)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, _SCHEMA)
 
 
 def ids_text(ids="ids"):

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 HEAVY_KEYS = 100_000
 LIGHT_ROWS = 2_000
 
+#: Bytes of an Arrow batch that goes to Python, where the session has no limit of its own.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,6 +35,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after its session has got the limit BATCH_BYTES, unless it has one: a batch is held several times, by executor and worker."""
+    if df.sparkSession.conf.get(BATCH_SETTING, None) is None:
+        df.sparkSession.conf.set(BATCH_SETTING, BATCH_BYTES)
+    return df
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import chunks
-from tidemark.llm.common import Scratch, skew_join, written
+from tidemark.llm.common import Scratch, skew_join, small_batches, written
 from tidemark.llm.components import components, forest
 from tidemark.llm.words import hold, release, words_of
 
@@ -142,7 +142,7 @@ def features(docs: DataFrame, words: int, id_col: str, text_col: str, sets: bool
                     yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([len(s) for s in found], pa.int64()), keys, sigs], ["doc_id", "n_shingles", "key", "sig"])
             release()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(run, _SETS if sets else _SIGNED)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import chunks
-from tidemark.llm.common import smallest_hashes
+from tidemark.llm.common import small_batches, smallest_hashes
 from tidemark.llm.words import Memo, hold, release, run_sums, words_of
 
 #: Labelled documents to learn from, at most, and bytes of their texts, at most.
@@ -211,13 +211,13 @@ def posteriors(model: Model, text: Column) -> Column:
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the score of every whole text: the posterior of class 1."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), posteriors(model, F.col(text_col)).alias("s"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), posteriors(model, F.col(text_col)).alias("s"))
     return rows.select("doc_id", F.col("s.posterior")[1].alias("score"))
 
 
 def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Every row of docs as a struct `doc`, with its words counted (n_tokens) and its posteriors."""
-    return docs.select(F.struct("*").alias("doc"), posteriors(model, F.col(text_col)).alias("s")).select("doc", "s.n_tokens", "s.posterior")
+    return small_batches(docs).select(F.struct("*").alias("doc"), posteriors(model, F.col(text_col)).alias("s")).select("doc", "s.n_tokens", "s.posterior")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
