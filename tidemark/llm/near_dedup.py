@@ -58,7 +58,7 @@ BLOCK = 64
 #: Classes of a cluster that all of its blocks hold, on average.
 PIVOTS = 8
 #: Bytes of text made into sets at a time.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 _HASHES = TREES * DEPTH
 _rng = np.random.default_rng(20)

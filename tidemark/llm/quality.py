@@ -50,7 +50,9 @@ EPOCHS = 5
 RATE = 2.0
 SEED = 7
 #: Bytes of text scored at a time.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
+#: Characters of new words whose features are made at a time.
+PART_CHARS = 100_000
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -108,10 +110,12 @@ class Model:
         width = len(self.bias) + 2  # of a word: the sum of its weights for each further class, its features, its hash
 
         def make(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            features, counts, hashes = word_features(words)
             held = np.empty((len(words), width), np.uint64)
-            held[:, :-2] = np.add.reduceat(self.weights[features].astype(np.float64), np.cumsum(counts) - counts, axis=0).view(np.uint64)
-            held[:, -2], held[:, -1] = counts, hashes
+            parts = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) // PART_CHARS
+            for rows in np.split(np.arange(len(words)), np.flatnonzero(np.diff(parts)) + 1):  # features take a hundred times their word
+                features, counts, hashes = word_features([words[i] for i in rows.tolist()])
+                held[rows, :-2] = np.add.reduceat(self.weights[features], np.cumsum(counts) - counts, axis=0, dtype=np.float64).view(np.uint64)
+                held[rows, -2], held[rows, -1] = counts, hashes
             return held.reshape(-1), np.full(len(words), width)
 
         memo = Memo(make, np.uint64)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a Memo holds before it starts anew, and what an entry takes beside its word and its values.
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 64 << 20
 ENTRY_BYTES = 200
 
 #: Words whose parts are known without a pattern: these letters, and perhaps one of these signs at the end.
