@@ -110,7 +110,7 @@ def test_token_files_query_and_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_rows_without_an_identifier_spread_over_files(spark):
-    rows = [(None if i % 3 else i, f"text {i} of them") for i in range(600)]
+    rows = [(None if i % 3 else i, f"{i} of the texts") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:

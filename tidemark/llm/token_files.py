@@ -35,7 +35,7 @@ BATCH_ROWS = 64
 #: New words that the tokenizer gets as one text, and what its tokens for the end of a word end in.
 JOINED_WORDS = 1000
 #: Characters of a text by which rows of one identifier are ranged.
-RANGE_CHARS = 256
+RANGE_CHARS = 32
 WORD_END = "</w>"
 
 _MANIFEST = "part long, tokens_path string, docs_path string, n_docs long, n_tokens long"
