@@ -35,6 +35,7 @@ def events(tmp_path_factory):
 @pytest.mark.parametrize("name", [
     "candles_1h",
     "candles_5m",
+    "lineage",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events

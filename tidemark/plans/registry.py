@@ -15,7 +15,7 @@ from tidemark.operators.store import latest_rows, merged, orphans
 from tidemark.operators.universe import universe_diff
 from tidemark.operators.validation import violations
 from tidemark.sources.decode import KLINE_FIELDS, decode_exchange_info, decode_klines, decode_tickers
-from tidemark.plans.adapters import EVENT_MS, candles, table
+from tidemark.plans.adapters import EVENT_MS, candles, opened, table
 from tidemark.types import FEATURE_NAMES, INTERVAL_MS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -496,5 +496,5 @@ def orphan_children(spark, sf_dir):
 
 @query(f"""WITH {candles_sql()} SELECT e.event_id, b.open_time AS bar, b.number_of_trades FROM events e JOIN bars b ON b.symbol = e.event_type AND b.open_time = epoch_ms(e.ts) - epoch_ms(e.ts) % 3600000""")
 def lineage(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("symbol"), F.expr(EVENT_MS).alias("t")).withColumn("open_time", F.col("t") - F.pmod("t", F.lit(3_600_000)))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("symbol"), F.expr(EVENT_MS).alias("t")).withColumn("open_time", opened(F.col("t"), 3_600_000))
     return events.join(bars(spark, sf_dir), ["symbol", "open_time"]).select("event_id", F.col("open_time").alias("bar"), "number_of_trades")
