@@ -432,7 +432,7 @@ def upsert_latest(spark, sf_dir):
 def decoded_klines(spark, sf_dir):
     """Pages of a day of candles each, as an exchange sends them, decoded again."""
     values = [F.col(name).cast("string") for name in KLINE_FIELDS]
-    day = F.floor(F.col("open_time") / 86_400_000)
+    day = F.expr("open_time div 86400000")
     page = F.transform(F.array_sort(F.collect_list(F.struct("open_time", F.array(*values).alias("k")))), lambda x: x["k"])
     pages = bars(spark, sf_dir).groupBy("symbol", "interval", day.alias("day")).agg(F.to_json(page).alias("response_json"))
     found = decode_klines(pages)
