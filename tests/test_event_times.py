@@ -37,6 +37,7 @@ def events(tmp_path_factory):
     "candles_5m",
     "lineage",
     "decoded_klines",
+    "true_range",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
