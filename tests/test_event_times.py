@@ -38,6 +38,7 @@ def events(tmp_path_factory):
     "lineage",
     "decoded_klines",
     "true_range",
+    "roc",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
