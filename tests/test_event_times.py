@@ -39,6 +39,7 @@ def events(tmp_path_factory):
     "decoded_klines",
     "true_range",
     "roc",
+    "bollinger20",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
