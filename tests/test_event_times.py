@@ -40,6 +40,7 @@ def events(tmp_path_factory):
     "true_range",
     "roc",
     "bollinger20",
+    "macd_family",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
