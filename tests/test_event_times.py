@@ -41,6 +41,7 @@ def events(tmp_path_factory):
     "roc",
     "bollinger20",
     "macd_family",
+    "rsi_atr",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
