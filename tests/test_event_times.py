@@ -45,6 +45,7 @@ def events(tmp_path_factory):
     "feature_matrix_by_type",
     "ema_features",
     "trend_features",
+    "momentum_features",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
