@@ -46,6 +46,7 @@ def events(tmp_path_factory):
     "ema_features",
     "trend_features",
     "momentum_features",
+    "feature_matrix",
 ])
 def test_milliseconds_of_events_as_in_the_sql(spark, events, name):
     folder, db = events
