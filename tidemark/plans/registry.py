@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
@@ -41,8 +41,20 @@ def bars(spark: SparkSession, sf_dir: str, interval: str = "1h", by_type: bool =
     return candles(table(spark, sf_dir, "events"), interval, by_type)
 
 
+def round_double(x: Column) -> Column:
+    """A double with DIGITS digits as the SQL's round makes it: its product with a power of ten, halves away from zero.
+
+    Spark's round takes the shortest decimal text of the double: 323 / 640 ends in a half there, and is below it here.
+    """
+    power = F.lit(10.0**DIGITS)
+    size = F.abs(x * power)
+    even = F.rint(size)
+    found = F.signum(x) * (even + F.when(size - even == 0.5, 1.0).otherwise(0.0)) / power
+    return F.when(size == float("inf"), x).otherwise(found)
+
+
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, DIGITS) for n in names})
+    return df.withColumns({n: round_double(F.col(n)) for n in names})
 
 
 # -- SQL pieces ------------------------------------------------------------------------------------------------------
@@ -180,7 +192,7 @@ def segments_1h_by_type(spark, sf_dir):
 
 def _window_features(spark: SparkSession, sf_dir: str, found: dict) -> DataFrame:
     df = segmented(numeric(bars(spark, sf_dir)))
-    return df.select("symbol", "open_time", "segment_id", *(F.round(x, DIGITS).alias(n) for n, x in found.items()))
+    return rounded(df.select("symbol", "open_time", "segment_id", *(x.alias(n) for n, x in found.items())), *found)
 
 
 @query(f"""WITH {segments_sql()} SELECT symbol, open_time, segment_id,
