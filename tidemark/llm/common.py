@@ -14,7 +14,7 @@ HEAVY_KEYS = 100_000
 LIGHT_ROWS = 2_000
 
 #: Bytes of an Arrow batch that goes to Python, where the session has no limit of its own.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"

@@ -32,6 +32,8 @@ from tidemark.llm.words import PLAIN, PLAIN_TAIL, Memo, hold, release, runs, wor
 
 #: Sequences of one record batch.
 BATCH_ROWS = 64
+#: Bytes of text encoded at a time.
+CHUNK_BYTES = 4_000_000
 #: New words that the tokenizer gets as one text, and what its tokens for the end of a word end in.
 JOINED_WORDS = 1000
 #: Characters of a text by which rows of one identifier are ranged.
@@ -197,7 +199,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id:
         system, _ = resolve(folder)
         part, n_docs = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in chunks(batch):
+            for rows in chunks(batch, most=CHUNK_BYTES):
                 if writer is None:
                     tokens = attempt_name(folder, f"tokens-{part:06d}", ".arrow")
                     system.create_dir(resolve(folder)[1], recursive=True)
