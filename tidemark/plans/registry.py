@@ -15,7 +15,7 @@ from tidemark.operators.store import latest_rows, merged, orphans
 from tidemark.operators.universe import universe_diff
 from tidemark.operators.validation import violations
 from tidemark.sources.decode import KLINE_FIELDS, decode_exchange_info, decode_klines, decode_tickers
-from tidemark.plans.adapters import EVENT_MS, candles, opened, table
+from tidemark.plans.adapters import EVENT_MS, candles, nearest, opened, price, table
 from tidemark.types import FEATURE_NAMES, INTERVAL_MS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,8 +48,7 @@ def round_double(x: Column) -> Column:
     """
     power = F.lit(10.0**DIGITS)
     size = F.abs(x * power)
-    even = F.rint(size)
-    found = F.signum(x) * (even + F.when(size - even == 0.5, 1.0).otherwise(0.0)) / power
+    found = F.signum(x) * nearest(size) / power
     return F.when(size == float("inf"), x).otherwise(found)
 
 
@@ -469,8 +468,8 @@ def decoded_exchange_info(spark, sf_dir):
 @query("SELECT CAST(event_id AS BIGINT) AS event_id, upper(event_type) AS symbol, CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) AS price FROM events WHERE event_id % 7 <> 0")
 def decoded_tickers(spark, sf_dir):
     """Tickers, one by one or in a list; those without a number are no tickers."""
-    price = F.when(F.col("event_id") % 7 == 0, "none").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
-    one = F.to_json(F.struct(F.concat(F.lit(" "), F.col("event_type")).alias("symbol"), price.alias("price")))
+    text = F.when(F.col("event_id") % 7 == 0, "none").otherwise(price(F.col("value")).cast("string"))
+    one = F.to_json(F.struct(F.concat(F.lit(" "), F.col("event_type")).alias("symbol"), text.alias("price")))
     payload = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("["), one, F.lit("]"))).otherwise(one)
     found = decode_tickers(table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("event_id"), payload.alias("response_json")))
     return found.select("event_id", "symbol", F.col("price").cast("double").alias("price"))
