@@ -40,6 +40,7 @@ def events(tmp_path_factory):
     "roc",
     "candles_1h",
     "decoded_tickers",
+    "rsi_atr",
 ])
 def test_values_of_more_than_two_decimals_as_in_the_sql(spark, events, name):
     folder, db = events
