@@ -40,6 +40,7 @@ def events(tmp_path_factory):
     "roc",
     "candles_1h",
     "decoded_tickers",
+    "trend_features",
     "momentum_features",
     "rsi_atr",
 ])
